@@ -13,7 +13,7 @@ All operators share that partitioning, so one exchange of the samples serves a c
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -96,6 +96,33 @@ def with_carry(df: DataFrame, s: Series, aggs: Mapping[str, Column],
     return df.join(carried, list(s.group), "left")
 
 
+@dataclass(frozen=True)
+class Step:
+    """One ordered computation: what to summarise per slice, what to carry, what to add to the rows.
+
+    ``columns`` may use the carries and windows over the rows of a slice.
+    """
+
+    aggs: Mapping[str, Column]
+    carries: Mapping[str, Column]
+    columns: Mapping[str, Column]
+
+
+def apply_steps(df: DataFrame, s: Series, *steps: Step) -> DataFrame:
+    """Run steps that do not need each other's output on one summary and one join.
+
+    The samples are read twice however many steps there are.
+    """
+    aggs: dict[str, Column] = {}
+    carries: dict[str, Column] = {}
+    columns: dict[str, Column] = {}
+    for step in steps:
+        aggs.update(step.aggs)
+        carries.update(step.carries)
+        columns.update(step.columns)
+    return with_carry(sliced(df, s), s, aggs, carries).withColumns(columns).drop(*carries)
+
+
 def before(s: Series) -> WindowSpec:
     """The slices ahead of the current one."""
     return s.slices().rowsBetween(Window.unboundedPreceding, -1)
@@ -106,18 +133,16 @@ def carried_total(name: str, s: Series) -> Column:
     return F.coalesce(F.sum(name).over(before(s)), F.lit(0))
 
 
-def row_number(s: Series, base: str = "_rows_before") -> Column:
-    """Zero-based position in the entity, given the number of rows in earlier slices."""
-    return F.col(base) + F.row_number().over(s.rows()).cast("bigint") - 1
-
-
-def with_row_number(df: DataFrame, s: Series, name: str = "_rn", total: str | None = None) -> DataFrame:
-    """Zero-based row position within the entity and, if asked for, the entity's row count."""
-    carries = {"_rows_before": carried_total("_rows", s)}
-    if total:
-        carries[total] = F.sum("_rows").over(s.entity())
-    out = with_carry(sliced(df, s), s, {"_rows": F.count(F.lit(1))}, carries)
-    return out.withColumn(name, row_number(s)).drop("_rows_before")
+def position_step(s: Series, name: str, total: str) -> Step:
+    """Zero-based row position in the entity and the entity's row count."""
+    return Step(
+        {"_rows": F.count(F.lit(1))},
+        {"_rows_before": carried_total("_rows", s), "_rows_all": F.sum("_rows").over(s.entity())},
+        {
+            name: F.col("_rows_before") + F.row_number().over(s.rows()).cast("bigint") - 1,
+            total: F.col("_rows_all"),
+        },
+    )
 
 
 def with_row_blocks(df: DataFrame, s: Series, block: int, halo: int) -> tuple[DataFrame, WindowSpec]:
@@ -128,7 +153,7 @@ def with_row_blocks(df: DataFrame, s: Series, block: int, halo: int) -> tuple[Da
     """
     if halo > block:
         raise ValueError("the halo must not be wider than a block")
-    numbered = with_row_number(df, s, "_rn", total="_n")
+    numbered = apply_steps(df, s, position_step(s, "_rn", "_n"))
     base = F.floor(F.col("_rn") / F.lit(block)).cast("bigint")
     offset = F.pmod("_rn", F.lit(block))
     copies = F.array_compact(
@@ -151,9 +176,6 @@ def own_rows(df: DataFrame) -> DataFrame:
     return df.filter("_own").drop("_own", "_block", "_rn", "_n")
 
 
-Carry = Callable[[DataFrame], DataFrame]
-
-
 def neighbours(df: DataFrame, s: Series, cols: Sequence[str]) -> DataFrame:
     """Nearest known sample of each column at or before and strictly after each row.
 

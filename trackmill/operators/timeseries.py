@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,14 +11,15 @@ from trackmill.functions.physics import KT_TO_MPS
 from trackmill.functions.timing import MICROS, ceil_div, floor_div, micros, seconds
 from trackmill.operators.percentiles import GROUP_ROWS, exact_percentiles
 from trackmill.operators.slices import (
-    SLICE,
     Series,
+    Step,
+    apply_steps,
     before,
     between_neighbours,
     carried_total,
     neighbours,
     position,
-    row_number,
+    position_step,
     sliced,
     with_carry,
 )
@@ -26,41 +27,44 @@ from trackmill.operators.slices import (
 DEFAULT = Series()
 
 
-def with_elapsed(df: DataFrame, s: Series = DEFAULT, name: str = "ts") -> DataFrame:
+def elapsed_step(s: Series = DEFAULT, name: str = "ts") -> Step:
     """Seconds since the entity's first sample."""
-    out = with_carry(
-        sliced(df, s), s,
-        {"_t0": F.min(micros(s.time))},
-        {"_start": F.min("_t0").over(s.entity())},
-    )
-    return out.withColumn(name, seconds(micros(s.time) - F.col("_start"))).drop("_start")
+    us = micros(s.time)
+    return Step({"_t0": F.min(us)}, {"_t0_all": F.min("_t0").over(s.entity())}, {name: seconds(us - F.col("_t0_all"))})
 
 
-def with_lag(df: DataFrame, s: Series, cols: Mapping[str, Column]) -> DataFrame:
-    """Each value's predecessor in the entity under the given name, across slice borders."""
-    out = sliced(df, s)
-    packed = F.struct(*[c.alias(n) for n, c in cols.items()])
-    out = with_carry(
-        out, s,
-        {"_last": F.max(F.struct(position(s).alias("p"), packed.alias("v")))},
-        {"_lag0": F.lag("_last.v").over(s.slices())},
-    )
-    lagged = F.coalesce(F.lag(packed).over(s.rows()), F.col("_lag0"))
-    return out.withColumn("_lag", lagged).withColumns({n: F.col(f"_lag.{n}") for n in cols}).drop("_lag", "_lag0")
+def with_elapsed(df: DataFrame, s: Series = DEFAULT, name: str = "ts") -> DataFrame:
+    return apply_steps(df, s, elapsed_step(s, name))
 
 
-def with_rate(df: DataFrame, col: str, name: str, s: Series = DEFAULT, scale: float = 1.0,
-              first: float | None = 0.0) -> DataFrame:
+def _lagged(s: Series, tag: str, packed: Column) -> tuple[dict[str, Column], dict[str, Column], Column]:
+    """Parts of the predecessor of ``packed`` in the entity, across slice borders."""
+    aggs = {f"_last_{tag}": F.max(F.struct(position(s).alias("p"), packed.alias("v")))}
+    carries = {f"_lag_{tag}": F.lag(f"_last_{tag}.v").over(s.slices())}
+    return aggs, carries, F.coalesce(F.lag(packed).over(s.rows()), F.col(f"_lag_{tag}"))
+
+
+def step_length(s: Series = DEFAULT, name: str = "step_s") -> Step:
+    """Seconds since the previous sample, NULL on the first."""
+    us = micros(s.time)
+    aggs, carries, lag = _lagged(s, f"us_{name}", us)
+    return Step(aggs, carries, {name: seconds(us - lag)})
+
+
+def rate_step(col: str, name: str, s: Series = DEFAULT, scale: float = 1.0, first: float | None = 0.0) -> Step:
     """Difference quotient of ``col`` over seconds, divided by ``scale``.
 
     The entity's first row gets ``first``; a repeated instant gives NULL.
     """
-    out = with_lag(df, s, {"_prev_us": micros(s.time), "_prev_val": F.col(col)})
-    step = seconds(micros(s.time) - F.col("_prev_us"))
-    rate = F.try_divide(F.col(col) - F.col("_prev_val"), step) / scale
-    return out.withColumn(name, F.when(F.col("_prev_us").isNull(), F.lit(first)).otherwise(rate)).drop(
-        "_prev_us", "_prev_val"
-    )
+    us = micros(s.time)
+    aggs, carries, lag = _lagged(s, name, F.struct(us.alias("us"), F.col(col).alias("x")))
+    rate = F.try_divide(F.col(col) - lag["x"], seconds(us - lag["us"])) / scale
+    return Step(aggs, carries, {name: F.when(lag.isNull(), F.lit(first)).otherwise(rate)})
+
+
+def with_rate(df: DataFrame, col: str, name: str, s: Series = DEFAULT, scale: float = 1.0,
+              first: float | None = 0.0) -> DataFrame:
+    return apply_steps(df, s, rate_step(col, name, s, scale, first))
 
 
 def _extent(s: Series) -> tuple[dict[str, Column], dict[str, Column]]:
@@ -68,48 +72,66 @@ def _extent(s: Series) -> tuple[dict[str, Column], dict[str, Column]]:
     carries = {
         "_start": F.min("_lo").over(s.entity()),
         "_end": F.max("_hi").over(s.entity()),
-        "_n": F.sum("_cnt").over(s.entity()),
+        "_known": F.sum("_cnt").over(s.entity()),
     }
     return aggs, carries
 
 
 def _mean_step() -> Column:
-    return F.try_divide(seconds(F.col("_end") - F.col("_start")), (F.col("_n") - 1).cast("double"))
+    return F.try_divide(seconds(F.col("_end") - F.col("_start")), (F.col("_known") - 1).cast("double"))
+
+
+def mean_step(s: Series = DEFAULT, name: str = "mean_step") -> Step:
+    """The entity's mean sample spacing in seconds."""
+    return Step(*_extent(s), {name: _mean_step()})
 
 
 def with_mean_step(df: DataFrame, s: Series = DEFAULT, name: str = "mean_step") -> DataFrame:
-    """The entity's mean sample spacing in seconds on each of its rows."""
-    out = with_carry(sliced(df, s), s, *_extent(s))
-    return out.withColumn(name, _mean_step()).drop("_start", "_end", "_n")
+    return apply_steps(df, s, mean_step(s, name))
 
 
-def with_air_distance(df: DataFrame, s: Series = DEFAULT, tas: str = "tas",
-                      name: str = "airdist", total: str = "distance") -> DataFrame:
+def _before_sum(name: str, s: Series) -> Column:
+    return F.coalesce(F.sum(name).over(before(s)), F.lit(0.0))
+
+
+def _running_sum(col: str, s: Series) -> Column:
+    return F.sum(col).over(s.rows().rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+
+def air_distance_step(s: Series = DEFAULT, tas: str = "tas", name: str = "airdist", total: str = "distance") -> Step:
     """Distance flown through the air (km), running and in total, at the mean sample spacing.
 
     A NULL airspeed adds nothing, and its own row has no running value.
     """
     aggs, carries = _extent(s)
-    aggs["_sum"] = F.sum(tas)
-    carries["_sum0"] = F.coalesce(F.sum("_sum").over(before(s)), F.lit(0.0))
-    carries["_all"] = F.sum("_sum").over(s.entity())
-    out = with_carry(sliced(df, s), s, aggs, carries)
+    aggs["_speed"] = F.sum(tas)
+    carries["_speed0"] = _before_sum("_speed", s)
+    carries["_speed_all"] = F.sum("_speed").over(s.entity())
     to_km = _mean_step() * (KT_TO_MPS / 1000.0)
-    running = F.sum(tas).over(s.rows().rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return out.withColumns({
-        name: F.when(F.col(tas).isNotNull(), (F.col("_sum0") + running) * to_km),
-        total: F.col("_all") * to_km,
-    }).drop("_start", "_end", "_n", "_sum0", "_all")
+    return Step(aggs, carries, {
+        name: F.when(F.col(tas).isNotNull(), (F.col("_speed0") + _running_sum(tas, s)) * to_km),
+        total: F.col("_speed_all") * to_km,
+    })
+
+
+def with_air_distance(df: DataFrame, s: Series = DEFAULT, tas: str = "tas",
+                      name: str = "airdist", total: str = "distance") -> DataFrame:
+    return apply_steps(df, s, air_distance_step(s, tas, name, total))
 
 
-def with_mass_loss(df: DataFrame, s: Series = DEFAULT, flow: str = "fuelflow", name: str = "mass_loss") -> DataFrame:
-    """Fuel burnt since the first sample: flow times elapsed time, summed; unknown flow burns nothing."""
-    out = with_lag(df, s, {"_prev_us": micros(s.time)})
-    burn = F.coalesce(F.col(flow) * seconds(micros(s.time) - F.col("_prev_us")), F.lit(0.0))
-    out = out.withColumn("_burn", burn).drop("_prev_us")
-    out = with_carry(out, s, {"_sum": F.sum("_burn")}, {"_sum0": F.coalesce(F.sum("_sum").over(before(s)), F.lit(0.0))})
-    running = F.sum("_burn").over(s.rows().rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return out.withColumn(name, F.col("_sum0") + running).drop("_burn", "_sum0")
+def with_mass_loss(df: DataFrame, s: Series = DEFAULT, flow: str = "fuelflow", name: str = "mass_loss",
+                   step: str | None = None) -> DataFrame:
+    """Fuel burnt since the first sample: flow times elapsed time, summed; unknown flow burns nothing.
+
+    ``step`` names a column that already holds the seconds since the previous sample.
+    """
+    out = df if step else apply_steps(df, s, step_length(s, "_step"))
+    out = out.withColumn("_burn", F.coalesce(F.col(flow) * F.col(step or "_step"), F.lit(0.0)))
+    out = apply_steps(out, s, Step(
+        {"_burnt": F.sum("_burn")}, {"_burnt0": _before_sum("_burnt", s)},
+        {name: F.col("_burnt0") + _running_sum("_burn", s)},
+    ))
+    return out.drop("_burn", "_step")
 
 
 # What counts as level flight at cruise.
@@ -131,24 +153,28 @@ def cruise_like(phase: str = "phase", altitude: str = "altitude", rate: str = "v
     return F.coalesce(inside, F.lit(False))
 
 
-def mark_between(df: DataFrame, after_last: Column, until_first: Column, keep: Column,
-                 s: Series = DEFAULT, name: str = "cruise") -> DataFrame:
+def between_step(after_last: Column, until_first: Column, keep: Column, s: Series = DEFAULT,
+                 name: str = "cruise") -> Step:
     """1 on rows satisfying ``keep`` from the last ``after_last`` row to the first ``until_first`` row.
 
     Without a row of either kind the stretch reaches to the entity's first or last row.
     """
     here = position(s)
-    out = with_carry(
-        sliced(df, s), s,
-        {"_a": F.max(F.when(after_last, here)), "_b": F.min(F.when(until_first, here))},
-        {"_from": F.max("_a").over(s.entity()), "_to": F.min("_b").over(s.entity())},
-    )
     inside = (
         keep
         & F.coalesce(here >= F.col("_from"), F.lit(True))
         & F.coalesce(here <= F.col("_to"), F.lit(True))
     )
-    return out.withColumn(name, F.when(inside, 1).otherwise(0)).drop("_from", "_to")
+    return Step(
+        {"_a": F.max(F.when(after_last, here)), "_b": F.min(F.when(until_first, here))},
+        {"_from": F.max("_a").over(s.entity()), "_to": F.min("_b").over(s.entity())},
+        {name: F.when(inside, 1).otherwise(0)},
+    )
+
+
+def mark_between(df: DataFrame, after_last: Column, until_first: Column, keep: Column,
+                 s: Series = DEFAULT, name: str = "cruise") -> DataFrame:
+    return apply_steps(df, s, between_step(after_last, until_first, keep, s, name))
 
 
 def trim_band_with_fallback(df: DataFrame, s: Series = DEFAULT, flag: str = "cruise", speed: str = "tas",
@@ -279,17 +305,4 @@ def interpolate_nulls(df: DataFrame, s: Series, cols: Sequence[str]) -> DataFram
 
 
 def with_position(df: DataFrame, s: Series = DEFAULT, name: str = "rn", total: str = "n") -> DataFrame:
-    """Zero-based row position and row count of the entity."""
-    out = with_carry(
-        sliced(df, s), s,
-        {"_rows": F.count(F.lit(1))},
-        {"_rows_before": carried_total("_rows", s), total: F.sum("_rows").over(s.entity())},
-    )
-    return out.withColumn(name, row_number(s)).drop("_rows_before")
-
-
-__all__ = [
-    "DEFAULT", "SLICE", "Series", "cruise_like", "interpolate_nulls", "mark_between", "resample_fixed", "resample_n",
-    "trim_band_with_fallback", "with_air_distance", "with_elapsed", "with_lag", "with_mass_loss", "with_mean_step",
-    "with_position", "with_rate",
-]
+    return apply_steps(df, s, position_step(s, name, total))
