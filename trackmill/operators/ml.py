@@ -74,7 +74,10 @@ def build_pipeline(features: Features, params: Boosting) -> Pipeline:
             inputCols=[f"{c}_index" for c in features.wide], outputCols=[f"{c}_mean" for c in features.wide],
             labelCol=features.label, targetType="continuous", handleInvalid="keep", smoothing=10.0,
         ))
-        inputs += [f"{c}_mean" for c in features.wide]
+        # The encoder's output still carries its categories as metadata; trees must see a number.
+        numbers = ", ".join(f"`{c}_mean` + 0D AS `{c}_level`" for c in features.wide)
+        stages.append(SQLTransformer(statement=f"SELECT *, {numbers} FROM __THIS__"))
+        inputs += [f"{c}_level" for c in features.wide]
     if features.numeric:
         marks = ", ".join(
             f"CAST(`{c}` AS DOUBLE) AS `{c}_value`, IF(`{c}` IS NULL, 1D, 0D) AS `{c}_missing`" for c in features.numeric

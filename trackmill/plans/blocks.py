@@ -59,12 +59,13 @@ block("flown", """
 CRUISE_SQL = """phase IN ('CRUISE', 'LEVEL') AND altitude > 20000 AND altitude < 45000
            AND vertical_rate > -500 AND vertical_rate < 500 AND tas IS NOT NULL AND altitude IS NOT NULL"""
 
-block("cruised", f"""
+BLOCK_CRUISED = f"""
   SELECT * EXCLUDE (rn, a, b), CASE WHEN rn >= coalesce(a, 1) AND rn <= coalesce(b, rn) AND {CRUISE_SQL}
            THEN 1 ELSE 0 END AS cruise
   FROM (SELECT *, max(CASE WHEN phase = 'CLIMB' THEN rn END) OVER (PARTITION BY flight_id) AS a,
                   min(CASE WHEN phase = 'DESCENT' THEN rn END) OVER (PARTITION BY flight_id) AS b
-        FROM (SELECT *, row_number() OVER (PARTITION BY flight_id ORDER BY event_time, seq) AS rn FROM flown))""")
+        FROM (SELECT *, row_number() OVER (PARTITION BY flight_id ORDER BY event_time, seq) AS rn FROM flown))"""
+block("cruised", BLOCK_CRUISED)
 
 
 def cruise_step():
