@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackmill.operators.cleaning import numeric_columns
+from trackmill.operators.percentiles import exact_percentiles
 from trackmill.operators.sampling import split_train_test, undersample, weights_inverse_freq
 from trackmill.operators.stats import corr_matrix, rmse_expr, topk_per_group
 from trackmill.session import materialise, shared_dir
@@ -262,9 +263,15 @@ def impute_by_model(df: DataFrame, cols: Sequence[str] | None = None, k: int = 5
     # A column without any known value has nothing to learn from.
     usable = [c for c in numeric if counts[c] < counts["_rows"]]
     todo = [c for c in (cols or usable) if c in usable and c != label and counts[c] > 0]
-    if method == "median":
-        return Imputer(strategy="median", inputCols=todo, outputCols=todo).fit(df).transform(df) if todo else df
+    if not todo:
+        return df
     out = materialise(df, "impute")
+    if method == "median":
+        # The whole table is one group, so its exact medians come from the hot-group selection at scale.
+        everything = out.withColumn("_all", F.lit(0))
+        medians = exact_percentiles(everything, ["_all"], {c: (F.col(c), 0.5) for c in todo}).first()
+        kinds = dict(out.dtypes)
+        return out.withColumns({c: F.coalesce(F.col(c), F.lit(medians[c]).cast(kinds[c])) for c in todo})
     partners: dict[str, list[str]] = {}
     for row in topk_per_group(corr_matrix(out, usable), k).filter(F.col("a").isin(todo)).orderBy("a", "rank").collect():
         partners.setdefault(row["a"], []).append(row["b"])

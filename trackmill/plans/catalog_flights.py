@@ -70,19 +70,23 @@ def parse_time(spark, sf):
     )
 
 
-@query("fill_from", "SELECT icao, coalesce(lat, lat_alt) AS lat, coalesce(lon, lon_alt) AS lon FROM airports")
+@query("fill_from", """
+SELECT f.flight_id, coalesce(a.lat, a.lat_alt) AS adep_lat, coalesce(a.lon, a.lon_alt) AS adep_lon
+FROM flights f LEFT JOIN airports a ON a.icao = f.adep""")
 def fill_from(spark, sf):
-    return enrich.airport_points(views.airports(spark, sf))
-
-
-OVERRIDES = {"X011": (29.25, 47.75)}
+    points = enrich.airport_points(views.airports(spark, sf))
+    out = enrich.join_dim(views.flights(spark, sf), points, "adep", "icao", {"lat": "adep_lat", "lon": "adep_lon"})
+    return out.select("flight_id", "adep_lat", "adep_lon")
 
 
 @query("override_point", """
-SELECT icao, CASE WHEN icao = 'X011' THEN 29.25e0 ELSE coalesce(lat, lat_alt) END AS lat,
-       CASE WHEN icao = 'X011' THEN 47.75e0 ELSE coalesce(lon, lon_alt) END AS lon FROM airports""")
+SELECT f.flight_id, CASE WHEN f.ades = 'X011' THEN 29.25e0 ELSE coalesce(a.lat, a.lat_alt) END AS ades_lat,
+       CASE WHEN f.ades = 'X011' THEN 47.75e0 ELSE coalesce(a.lon, a.lon_alt) END AS ades_lon
+FROM flights f LEFT JOIN airports a ON a.icao = f.ades""")
 def override_point(spark, sf):
-    return enrich.airport_points(views.airports(spark, sf), overrides=OVERRIDES)
+    points = enrich.airport_points(views.airports(spark, sf), overrides={"X011": (29.25, 47.75)})
+    out = enrich.join_dim(views.flights(spark, sf), points, "ades", "icao", {"lat": "ades_lat", "lon": "ades_lon"})
+    return out.select("flight_id", "ades_lat", "ades_lon")
 
 
 PROFILED = ("country_code_adep", "aircraft_type", "airline", "tow")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trackmill.functions.timing import micros
-from trackmill.operators import ml, sampling, selection, stats
+from trackmill.operators import enrich, ml, sampling, selection, stats
 from trackmill.plans import blocks, catalog_flights, flows
 from trackmill.plans.blocks import FX
 from trackmill.plans.catalog_flights import CODED, factorize_sql
@@ -121,11 +124,13 @@ def median_vote(spark, sf):
 
 
 @query("weighted_vote", """
-SELECT flight_id, round(sum(tow_pred * (model_id + 1)) / nullif(sum(CASE WHEN tow_pred IS NOT NULL THEN model_id + 1 END), 0), 2) AS tow
+SELECT flight_id, round(sum(round_even(tow_pred, 0) * (model_id + 1)) / nullif(sum(CASE WHEN tow_pred IS NOT NULL THEN model_id + 1 END), 0), 4) AS tow
 FROM preds GROUP BY flight_id""")
 def weighted_vote(spark, sf):
-    weighted = views.preds(spark, sf).withColumn("w", (F.col("model_id") + 1).cast("double"))
-    return rounded(selection.weighted_vote(weighted, "w"), 2)
+    whole = views.preds(spark, sf).withColumns({
+        "tow_pred": F.bround("tow_pred", 0), "w": (F.col("model_id") + 1).cast("double"),
+    })
+    return rounded(selection.weighted_vote(whole, "w"))
 
 
 @query("blend", """
@@ -190,8 +195,8 @@ def src_samples(spark, sf):
 
 
 @query("src_dims", """
-SELECT icao AS code, lat, lon, CAST(NULL AS DOUBLE) AS m_tow FROM airports
-UNION ALL SELECT ac, NULL, NULL, m_tow FROM types""")
+SELECT f.flight_id, a.lat, a.lon, t.m_tow FROM flights f
+LEFT JOIN airports a ON a.icao = f.adep LEFT JOIN types t ON t.ac = f.aircraft_type""")
 def src_dims(spark, sf):
     folder = fresh_path(spark, "dims")
     tables.write_csv(views.airports(spark, sf), f"{folder}/airports")
@@ -200,9 +205,9 @@ def src_dims(spark, sf):
         spark, f"{folder}/airports", "icao string, lat double, lon double, lat_alt double, lon_alt double", ["icao", "lat", "lon"]
     )
     kinds = tables.read_dim(spark, f"{folder}/types", views.types(spark).schema, ["ac", "m_tow"])
-    return places.withColumnRenamed("icao", "code").unionByName(
-        kinds.withColumnRenamed("ac", "code"), allowMissingColumns=True
-    )
+    out = enrich.join_dim(views.flights(spark, sf), places, "adep", "icao", {"lat": "lat", "lon": "lon"})
+    out = enrich.join_dim(out, kinds, "aircraft_type", "ac", {"m_tow": "m_tow"})
+    return out.select("flight_id", "lat", "lon", "m_tow")
 
 
 @query("src_predictions", "SELECT flight_id, model_id, test, aircraft_type, tow, tow_pred FROM preds")
@@ -257,7 +262,9 @@ def incremental_ingest_query(spark, sf):
     return out.select("flight_id", "seq", F.unix_date("flight_date").cast("bigint").alias("day_number"))
 
 
-@query("per_entity_apply")
+@query("per_entity_apply", rounded_sql("""
+SELECT flight_id, seq, altitude / max(altitude) OVER (PARTITION BY flight_id) AS share FROM tracks
+WHERE flight_id IN (SELECT flight_id FROM tracks GROUP BY flight_id HAVING count(altitude) >= 60)""", "share", 8))
 def per_entity_apply(spark, sf):
     import pandas as pd
 
@@ -272,7 +279,7 @@ def per_entity_apply(spark, sf):
         })
 
     tracks = blocks.tracks(spark, sf).select("flight_id", "event_time", "seq", "altitude")
-    return apply_per_entity(tracks, FX, [normalise], "flight_id bigint, seq bigint, share double")
+    return rounded(apply_per_entity(tracks, FX, [normalise], "flight_id bigint, seq bigint, share double"), 8)
 
 
 # --- models -------------------------------------------------------------------------------------
@@ -312,7 +319,7 @@ def feature_importance(spark, sf):
     return ml.feature_importance(spark, ml.fit(df, MODEL_FEATURES, SMALL))
 
 
-@query("align_features")
+@query("align_features", "SELECT flight_id, true AS same FROM flights")
 def align_features(spark, sf):
     """A model reads its own columns by name, whatever else the frame holds and in whatever order."""
     df = model_table(spark, sf)
@@ -323,7 +330,7 @@ def align_features(spark, sf):
     return plain.join(other, "flight_id").select("flight_id", (F.col("tow_pred") == F.col("tow_shuffled")).alias("same"))
 
 
-@query("sink_model")
+@query("sink_model", "SELECT flight_id, true AS same FROM flights")
 def sink_model(spark, sf):
     df = model_table(spark, sf)
     model = ml.fit(df.filter(F.col("tow").isNotNull()), MODEL_FEATURES, SMALL)
@@ -345,14 +352,33 @@ def train_per_group(spark, sf):
     return rounded(scores.join(counted, "model_id"), 2)
 
 
-@query("feature_subsets")
+MODEL_POOL = ("aircraft_type", "airline", "adep", "ades", "country_code_adep", "country_code_ades", "flown_distance",
+              "flight_duration", "actual_offblock_time")
+
+
+def ensemble_plan():
+    return sampling.feature_subsets([["flown_distance", "airline"], ["flight_duration"]], MODEL_POOL, draws=75, extra=25)
+
+
+_SUBSET_COUNTS = "\nUNION ALL ".join(
+    f"SELECT {i} AS model_id, {len(names)} AS n_features, count(CASE WHEN "
+    + " AND ".join(f"{c} IS NOT NULL" for c in names) + " THEN 1 END) AS complete FROM flights"
+    for i, names in ensemble_plan()
+)
+
+
+@query("feature_subsets", _SUBSET_COUNTS)
 def feature_subsets(spark, sf):
-    """An ensemble plan over the numeric columns of the model table, as a table."""
-    pool = [c for c in model_table(spark, sf).columns if c not in ("flight_id", "tow")]
-    plan = sampling.feature_subsets([["flown_distance", "airline"], ["flight_duration"]], pool, draws=75, extra=25)
-    return spark.createDataFrame(plan, "model_id int, features array<string>").select(
-        "model_id", F.size("features").alias("n_features"), F.concat_ws(",", "features").alias("features")
-    )
+    """How many flights have all features of each planned model; one pass for all 150 models."""
+    plan = ensemble_plan()
+    counts = views.flights(spark, sf).agg(*[
+        F.count_if(reduce(and_, [F.col(c).isNotNull() for c in names])).alias(str(i)) for i, names in plan
+    ])
+    rows = F.array(*[
+        F.struct(F.lit(i).alias("model_id"), F.lit(len(names)).alias("n_features"), F.col(str(i)).alias("complete"))
+        for i, names in plan
+    ])
+    return counts.select(F.explode(rows).alias("r")).select("r.*")
 
 
 @query("train_ensemble")
@@ -364,25 +390,45 @@ def train_ensemble(spark, sf):
     return rounded(selection.median_vote(predictions), 2)
 
 
-IMPUTED = ("climb_range", "tas_proxy")
-
-
 def gappy(spark, sf):
+    """Flights with two columns that have gaps."""
     return views.flights(spark, sf).select(
         "flight_id", "flight_duration", "flown_distance", "tow",
         F.when(F.col("flight_id") % 7 != 0, F.col("flight_duration") * 0.5).alias("climb_range"),
-        F.when(F.col("flight_id") % 11 != 0, F.col("flown_distance") / F.col("flight_duration")).alias("tas_proxy"),
+        F.when(F.col("flight_id") % 11 != 0, F.col("flown_distance") / F.col("flight_duration")).alias("mean_speed"),
     )
 
 
+block("gappy", """
+  SELECT flight_id, flight_duration, flown_distance, tow, CASE WHEN flight_id % 7 <> 0 THEN flight_duration * 5e-1 END AS climb_range,
+         CASE WHEN flight_id % 11 <> 0 THEN flown_distance / flight_duration END AS mean_speed FROM flights""")
+
+
 @query("impute_by_model")
 def impute_by_model(spark, sf):
     return rounded(ml.impute_by_model(gappy(spark, sf), iterations=5, depth=4, k=3), 2)
 
 
-@query("impute_linear")
+# SQL states what any imputation must keep: known values unchanged, no gap left, the label untouched.
+@query("impute_linear", """
+SELECT flight_id, flight_duration, flown_distance, tow, climb_range, mean_speed, true AS complete FROM gappy""")
 def impute_linear(spark, sf):
-    return rounded(ml.impute_by_model(gappy(spark, sf), method="linear", k=3), 2)
+    before = gappy(spark, sf)
+    after = ml.impute_by_model(before, method="linear", k=3)
+    gaps = before.select("flight_id", *[F.col(c).isNull().alias(f"_{c}") for c in ("climb_range", "mean_speed")])
+    joined = after.join(gaps, "flight_id")
+    complete = F.col("climb_range").isNotNull() & F.col("mean_speed").isNotNull()
+    return joined.select(
+        "flight_id", "flight_duration", "flown_distance", "tow",
+        *[F.when(~F.col(f"_{c}"), F.col(c)).alias(c) for c in ("climb_range", "mean_speed")], complete.alias("complete"),
+    )
+
+
+@query("impute_median", """
+SELECT flight_id, flight_duration, flown_distance, tow, coalesce(climb_range, (SELECT median(climb_range) FROM gappy)) AS climb_range,
+       coalesce(mean_speed, (SELECT median(mean_speed) FROM gappy)) AS mean_speed FROM gappy""")
+def impute_median(spark, sf):
+    return ml.impute_by_model(gappy(spark, sf), method="median")
 
 
 # --- composite flows ----------------------------------------------------------------------------
