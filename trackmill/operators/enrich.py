@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from trackmill.functions.geo import great_circle_km
 from trackmill.functions.physics import drag_term, fuel_flow, mach, thrust
 from trackmill.operators.cleaning import dedup_first
+from trackmill.operators.slices import Series, join_entity
 
 
 def join_dim(df: DataFrame, dim: DataFrame, on: str, key: str, columns: Mapping[str, str]) -> DataFrame:
@@ -23,10 +24,15 @@ def join_dim(df: DataFrame, dim: DataFrame, on: str, key: str, columns: Mapping[
     return df.join(right, F.col(on) == F.col("_dim_key"), "left").drop("_dim_key")
 
 
-def attach_type(samples: DataFrame, flights: DataFrame, key: str = "flight_id",
+def attach_type(samples: DataFrame, flights: DataFrame, s: Series,
                 columns: Sequence[str] = ("aircraft_type",)) -> DataFrame:
     """Samples of known flights with columns of the flight list."""
-    return samples.join(flights.select(key, *columns), key, "inner")
+    return join_entity(samples, s, flights.select(s.key, *columns))
+
+
+def keep_known(samples: DataFrame, flights: DataFrame, s: Series) -> DataFrame:
+    """Samples whose flight is in the flight list."""
+    return join_entity(samples, s, flights.select(s.key), "left_semi")
 
 
 def join_new_columns(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

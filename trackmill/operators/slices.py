@@ -96,6 +96,18 @@ def with_carry(df: DataFrame, s: Series, aggs: Mapping[str, Column],
     return df.join(carried, list(s.group), "left")
 
 
+def join_entity(df: DataFrame, s: Series, attributes: DataFrame, how: str = "inner") -> DataFrame:
+    """Join one row per entity (a flight list, per-entity bounds) to the samples.
+
+    A join on the entity would send all samples of a large one to the same task, and later windows
+    would inherit that partitioning.  So the attributes are first spread over the entity's slices
+    (a small table), and the samples join on (entity, slice), as every other step does.
+    """
+    base = sliced(df, s)
+    per_slice = base.select(*s.group).distinct().join(attributes, s.key)
+    return base.join(per_slice, list(s.group), how)
+
+
 @dataclass(frozen=True)
 class Step:
     """One ordered computation: what to summarise per slice, what to carry, what to add to the rows.

@@ -17,10 +17,10 @@ from trackmill.operators.slices import (
     before,
     between_neighbours,
     carried_total,
+    join_entity,
     neighbours,
     position,
     position_step,
-    sliced,
     with_carry,
 )
 
@@ -196,9 +196,6 @@ def trim_band_with_fallback(df: DataFrame, s: Series = DEFAULT, flag: str = "cru
         "_height_hi": (F.when(flagged, F.col(height)), hi),
         "_height_top": (F.col(height), top),
     }, group_rows)
-    # Spread the one row per entity over its slices: the join key then has no hot value.
-    base = sliced(df, s)
-    per_slice = base.select(*s.group).distinct().join(bounds, s.key)
     steady = F.coalesce(
         flagged
         & (F.col(speed) > F.col("_speed_lo")) & (F.col(speed) < F.col("_speed_hi"))
@@ -206,7 +203,7 @@ def trim_band_with_fallback(df: DataFrame, s: Series = DEFAULT, flag: str = "cru
         F.lit(False),
     )
     high = F.coalesce(F.col(height) >= F.col("_height_top"), F.lit(False))
-    marked = base.join(per_slice, list(s.group), "left").withColumns({"_steady": steady, "_high": high})
+    marked = join_entity(df, s, bounds, "left").withColumns({"_steady": steady, "_high": high})
     marked = with_carry(
         marked, s,
         {"_steady_n": F.count_if("_steady"), "_high_n": F.count_if("_high")},

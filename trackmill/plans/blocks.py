@@ -18,6 +18,7 @@ from trackmill.operators.timeseries import (
     with_mass_loss,
 )
 from trackmill.plans.registry import block
+from trackmill.session import materialise
 from trackmill.sources import views
 
 FX = views.SERIES
@@ -96,7 +97,7 @@ block("thrusted", "SELECT * EXCLUDE (thrust_raw) FROM (" + thrust_sql("cruised")
 
 
 def with_forces(spark: SparkSession, sf: str, df: DataFrame) -> DataFrame:
-    typed = attach_type(df, views.flights(spark, sf)).withColumn("label", thrust_regime(F.col("phase")))
+    typed = attach_type(df, views.flights(spark, sf), FX).withColumn("label", thrust_regime(F.col("phase")))
     return with_thrust_fuel(typed, views.regimes(spark), views.fuel(spark))
 
 
@@ -112,7 +113,8 @@ block("enriched", mass_loss_sql("thrusted"))
 
 def enriched(spark: SparkSession, sf: str) -> DataFrame:
     """Deduplicated samples with airspeed, air distance, cruise flag, type, thrust, fuel and mass loss."""
-    df = apply_steps(with_tas(tracks(spark, sf)), FX, air_distance_step(FX), cruise_step(), step_length(FX, "step_s"))
+    base = materialise(with_tas(tracks(spark, sf)), "tracks")
+    df = apply_steps(base, FX, air_distance_step(FX), cruise_step(), step_length(FX, "step_s"))
     return with_mass_loss(with_forces(spark, sf, df), FX, step="step_s").drop("step_s")
 
 

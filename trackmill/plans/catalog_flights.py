@@ -194,10 +194,10 @@ def distinct_values(spark, sf):
 
 
 @query("value_share", """
-SELECT aircraft_type, count(*) AS n, round(count(*) / CAST((SELECT count(aircraft_type) FROM flights) AS DOUBLE), 8) AS share
+SELECT aircraft_type, count(*) AS n, count(*) / CAST((SELECT count(aircraft_type) FROM flights) AS DOUBLE) AS share
 FROM flights WHERE aircraft_type IS NOT NULL GROUP BY aircraft_type""")
 def value_share(spark, sf):
-    return rounded(stats.value_share(views.flights(spark, sf), "aircraft_type"), 8)
+    return stats.value_share(views.flights(spark, sf), "aircraft_type")
 
 
 # --- correlation --------------------------------------------------------------------------------
@@ -259,7 +259,7 @@ def type_stats(spark, sf):
     return rounded(stats.type_stats(materialise(typed(spark, sf), "typed")))
 
 
-@query("normalise_by_reference", rounded_sql("""
+@query("normalise_by_reference", """
 SELECT flight_id,
   CASE WHEN nc > 50 THEN climb_range / nullif(mc, 0) ELSE c END AS climb_range_normalized,
   CASE WHEN nf > 50 THEN flown_distance / nullif(mf, 0) ELSE f END AS flown_distance_normalized
@@ -270,12 +270,12 @@ FROM (SELECT x.*, g.nc, g.nf, g.mc, g.mf
                    count(*) - count((t.flown_distance - t.climb_range) / d.cruise_range_ref) AS nf,
                    median(t.climb_range) AS mc, median(t.flown_distance) AS mf
                  FROM typed t LEFT JOIN types d ON d.ac = t.aircraft_type GROUP BY t.aircraft_type) g
-      ON g.aircraft_type = x.aircraft_type)""", "climb_range_normalized flown_distance_normalized", 6))
+      ON g.aircraft_type = x.aircraft_type)""")
 def normalise_by_reference(spark, sf):
     df = enrich.join_dim(materialise(typed(spark, sf), "typed"), views.types(spark), "aircraft_type", "ac",
                          {"climb_range_ref": "climb_range_ref", "cruise_range_ref": "cruise_range_ref"})
     out = stats.normalise_by_reference(df, max_nulls=50)
-    return rounded(out.select("flight_id", "climb_range_normalized", "flown_distance_normalized"), 6)
+    return out.select("flight_id", "climb_range_normalized", "flown_distance_normalized")
 
 
 @query("impute_group_median", rounded_sql("""
@@ -317,7 +317,7 @@ def drag_terms(spark, sf):
 def banded_typed(spark, sf):
     """Band features with the performance columns of the flight's type."""
     bands = features.band_features(blocks.with_tas(blocks.tracks(spark, sf)), FX)
-    df = enrich.attach_type(bands, views.flights(spark, sf)).withColumn("_ac", F.upper(F.trim("aircraft_type")))
+    df = bands.join(views.flights(spark, sf).select("flight_id", "aircraft_type"), "flight_id").withColumn("_ac", F.upper(F.trim("aircraft_type")))
     names = ("cd0", "ceiling_ft", "cruise_ft", "cruise_mach")
     return enrich.join_dim(df, views.types(spark), "_ac", "ac", {n: n for n in names})
 
@@ -325,14 +325,14 @@ def banded_typed(spark, sf):
 @query("ceiling_cruise_diff", rounded_sql("""
 SELECT flight_id, any_value(t.ceiling_ft) - max(s.altitude) AS ceiling_diff, any_value(t.cruise_ft) - avg(s.altitude) AS cruise_diff
 FROM (SELECT x.*, upper(trim(f.aircraft_type)) AS ac FROM tracks x JOIN flights f USING (flight_id) WHERE x.phase = 'CRUISE') s
-LEFT JOIN types t ON t.ac = s.ac GROUP BY flight_id""", "ceiling_diff cruise_diff"))
+LEFT JOIN types t ON t.ac = s.ac GROUP BY flight_id""", "ceiling_diff cruise_diff", 7))
 def ceiling_cruise_diff(spark, sf):
     cruise = blocks.tracks(spark, sf).filter(F.col("phase") == "CRUISE").groupBy("flight_id").agg(
         F.max("altitude").alias("max_cruise_altitude"), F.avg("altitude").alias("mean_cruise_altitude")
     )
-    df = enrich.attach_type(cruise, views.flights(spark, sf)).withColumn("_ac", F.upper(F.trim("aircraft_type")))
+    df = cruise.join(views.flights(spark, sf).select("flight_id", "aircraft_type"), "flight_id").withColumn("_ac", F.upper(F.trim("aircraft_type")))
     df = enrich.join_dim(df, views.types(spark), "_ac", "ac", {"ceiling_ft": "ceiling_ft", "cruise_ft": "cruise_ft"})
-    return rounded(enrich.with_ceiling_diff(df).select("flight_id", "ceiling_diff", "cruise_diff"))
+    return rounded(enrich.with_ceiling_diff(df).select("flight_id", "ceiling_diff", "cruise_diff"), 7)
 
 
 _SPEC = ", ".join(

@@ -17,6 +17,7 @@ from trackmill.plans.catalog_samples import (
     FIXED_STEP_SQL,
     band_sql,
     climb_range_sql,
+    feature_digits,
     feature_sql,
     outlier_sql,
     phase_sql,
@@ -489,7 +490,7 @@ def pipe_climb_preprocess(spark, sf):
 
 @query("pipe_flight_features", feature_sql("trimmed"))
 def pipe_flight_features(spark, sf):
-    return rounded(flows.flight_feature_flow(blocks.enriched(spark, sf), FX))
+    return feature_digits(flows.flight_feature_flow(blocks.enriched(spark, sf), FX))
 
 
 block("climb_known", "SELECT * FROM aired WHERE phase = 'CLIMB' AND flight_id IN (SELECT flight_id FROM flights)")
@@ -524,7 +525,7 @@ block("assembled", f"""
   LEFT JOIN types t ON t.ac = f.ac
   LEFT JOIN (SELECT upper(trim(g.aircraft_type)) AS ac, max(g.flown_distance) AS max_flown_dist, min(h.climb_range) AS min_climb_range
              FROM flights g LEFT JOIN climb_distance h ON h.flight_id = g.flight_id GROUP BY 1) s ON s.ac = f.ac""")
-block("features", feature_sql("trimmed").replace("round(", "(").replace(", 4) + 0e0", ")"))
+block("features", feature_sql("trimmed").replace("round(", "(").replace(", 4) + 0e0", ")").replace(", 7) + 0e0", ")"))
 
 
 @query("pipe_assemble", rounded_sql("SELECT * FROM assembled", """great_circle_distance_km climb_range drag_term1 ceiling_diff

@@ -65,19 +65,19 @@ def elapsed_seconds(spark, sf):
     return timeseries.with_elapsed(blocks.tracks(spark, sf), FX).select("flight_id", "seq", "ts")
 
 
-@query("diff_rate", rounded_sql("""
+@query("diff_rate", """
 SELECT flight_id, seq, CASE WHEN t IS NULL THEN 0e0
   ELSE (vertical_rate - v) / nullif((epoch_us(event_time) - epoch_us(t)) / 1e6, 0) / 60 END AS vertical_acc
 FROM (SELECT *, lag(event_time) OVER w AS t, lag(vertical_rate) OVER w AS v FROM tracks
-      WINDOW w AS (PARTITION BY flight_id ORDER BY event_time, seq))""", "vertical_acc", 8))
+      WINDOW w AS (PARTITION BY flight_id ORDER BY event_time, seq))""")
 def diff_rate(spark, sf):
     df = timeseries.with_rate(blocks.tracks(spark, sf), "vertical_rate", "vertical_acc", FX, scale=60.0)
-    return rounded(df.select("flight_id", "seq", "vertical_acc"), 8)
+    return df.select("flight_id", "seq", "vertical_acc")
 
 
-@query("mean_step", "SELECT flight_id, seq, round(mean_step, 4) AS mean_step FROM stepped")
+@query("mean_step", "SELECT flight_id, seq, mean_step FROM stepped")
 def mean_step(spark, sf):
-    return rounded(timeseries.with_mean_step(blocks.tracks(spark, sf), FX).select("flight_id", "seq", "mean_step"))
+    return timeseries.with_mean_step(blocks.tracks(spark, sf), FX).select("flight_id", "seq", "mean_step")
 
 
 @query("air_distance", rounded_sql("SELECT flight_id, seq, airdist, distance FROM flown", "airdist distance", 3))
@@ -290,16 +290,16 @@ def true_airspeed(spark, sf):
     return rounded(blocks.with_tas(blocks.tracks(spark, sf)).select("flight_id", "seq", "tas"))
 
 
-@query("unit_conv", rounded_sql("""
+@query("unit_conv", """
 SELECT flight_id, seq, groundspeed * 0.514444e0 AS speed_mps, vertical_rate * 0.00508e0 AS rate_mps, altitude / 3.28084e0 AS altitude_m
-FROM samples""", "speed_mps rate_mps altitude_m"))
+FROM samples""")
 def unit_conv(spark, sf):
-    return rounded(views.samples(spark, sf).select(
+    return views.samples(spark, sf).select(
         "flight_id", "seq",
         (F.col("groundspeed") * physics.KT_TO_MPS).alias("speed_mps"),
         (F.col("vertical_rate") * physics.FTMIN_TO_MPS).alias("rate_mps"),
         (F.col("altitude") / physics.M_TO_FT).alias("altitude_m"),
-    ))
+    )
 
 
 @query("path_angle", """
@@ -324,7 +324,7 @@ SELECT a.flight_id, a.seq, a.tas * 0.514444e0 / sqrt(1.4e0 * 287.05e0 * a.temper
 FROM aired a JOIN flights f ON a.flight_id = f.flight_id LEFT JOIN types t ON t.ac = upper(trim(f.aircraft_type))""",
                            "mach mach_diff", 6))
 def mach(spark, sf):
-    df = enrich.attach_type(blocks.with_tas(blocks.tracks(spark, sf)), views.flights(spark, sf))
+    df = enrich.attach_type(blocks.with_tas(blocks.tracks(spark, sf)), views.flights(spark, sf), FX)
     df = df.withColumn("_ac", F.upper(F.trim("aircraft_type")))
     df = enrich.join_dim(df, views.types(spark), "_ac", "ac", {"cruise_mach": "cruise_mach"})
     df = enrich.with_mach(df, "tas", "temperature")
@@ -344,7 +344,7 @@ def round_half_even(spark, sf):
 
 @query("join_type_inner", "SELECT s.flight_id, s.seq, f.aircraft_type FROM samples s JOIN flights f ON s.flight_id = f.flight_id")
 def join_type_inner(spark, sf):
-    joined = enrich.attach_type(views.samples(spark, sf), views.flights(spark, sf))
+    joined = enrich.attach_type(views.samples(spark, sf), views.flights(spark, sf), FX)
     return joined.select("flight_id", "seq", "aircraft_type")
 
 
@@ -352,13 +352,13 @@ def join_type_inner(spark, sf):
 SELECT flight_id, seq FROM samples WHERE flight_id IN (SELECT flight_id FROM flights WHERE dataset = 'challenge')""")
 def semi_known(spark, sf):
     known = views.flights(spark, sf).filter(F.col("dataset") == "challenge")
-    return views.samples(spark, sf).join(known.select("flight_id"), "flight_id", "left_semi").select("flight_id", "seq")
+    return enrich.keep_known(views.samples(spark, sf), known, FX).select("flight_id", "seq")
 
 
 @query("type_substitute", f"""
 SELECT x.flight_id, x.seq, {blocks.MODEL_SQL} AS model FROM samples x JOIN flights f ON x.flight_id = f.flight_id""")
 def type_substitute(spark, sf):
-    joined = enrich.attach_type(views.samples(spark, sf), views.flights(spark, sf))
+    joined = enrich.attach_type(views.samples(spark, sf), views.flights(spark, sf), FX)
     return joined.select("flight_id", "seq", enrich.thrust_type(F.col("aircraft_type")).alias("model"))
 
 
@@ -395,6 +395,18 @@ def duration_sql() -> str:
     return ",\n  ".join(parts)
 
 
+#: Means of values with two decimals often end in a 5 at the fifth; they are compared more finely.
+FEATURE_DIGITS = dict.fromkeys(["mean_cruise_altitude", "mean_rod", "mean_roc", "mean_initroc"], 7)
+
+
+def feature_digits(df):
+    fine = df.withColumns({c: F.round(c, d) + F.lit(0.0) for c, d in FEATURE_DIGITS.items()})
+    return fine.withColumns({
+        f.name: F.round(f.name, 4) + F.lit(0.0)
+        for f in df.schema if f.dataType.typeName() == "double" and f.name not in FEATURE_DIGITS
+    })
+
+
 def feature_sql(source: str) -> str:
     out = {
         "mean_cruise_altitude": _avg("in_cruise", "altitude"),
@@ -423,7 +435,7 @@ def feature_sql(source: str) -> str:
         out[f"max_{short}"] = f"max(CASE WHEN {c} THEN vertical_rate END)"
         out[f"mean_pos_{n}_vertacc"] = _avg(f"({c}) AND vertical_acc > 0", "vertical_acc")
         out[f"max_{n}_vertacc"] = f"max(CASE WHEN {c} THEN vertical_acc END)"
-    body = ",\n  ".join(f"round({e}, 4) + 0e0 AS {n}" for n, e in out.items())
+    body = ",\n  ".join(f"round({e}, {FEATURE_DIGITS.get(n, 4)}) + 0e0 AS {n}" for n, e in out.items())
     return f"SELECT flight_id, {body},\n  {duration_sql()}\nFROM {source} GROUP BY flight_id"
 
 
@@ -435,7 +447,7 @@ def trimmed(spark, sf):
 
 @query("flight_features", feature_sql("trimmed"))
 def flight_features(spark, sf):
-    return rounded(features.flight_features(materialise(trimmed(spark, sf), "trimmed"), FX))
+    return feature_digits(features.flight_features(materialise(trimmed(spark, sf), "trimmed"), FX))
 
 
 @query("durations", f"SELECT flight_id,\n  {duration_sql()}\nFROM cruise_trimmed GROUP BY flight_id")

@@ -48,12 +48,13 @@ def _airspeed(df: DataFrame) -> DataFrame:
 
 def _known_tracks(samples: DataFrame, flights: DataFrame, s: Series) -> DataFrame:
     """Samples of listed flights, one per instant, written once: every later step reads them several times."""
-    listed = samples.join(flights.select(s.key), s.key, "left_semi").filter(F.col(s.time).isNotNull())
-    return materialise(cleaning.dedup_first(listed, [s.key, s.time], s.tie), "tracks")
+    timed = samples.filter(F.col(s.time).isNotNull())
+    unique = materialise(cleaning.dedup_first(timed, [s.key, s.time], s.tie), "tracks")
+    return unsliced(enrich.keep_known(unique, flights, s))
 
 
-def _forces(df: DataFrame, flights: DataFrame, regimes: DataFrame, fuel: DataFrame) -> DataFrame:
-    return enrich.with_thrust_fuel(enrich.attach_type(df, flights), regimes, fuel)
+def _forces(df: DataFrame, flights: DataFrame, regimes: DataFrame, fuel: DataFrame, s: Series) -> DataFrame:
+    return enrich.with_thrust_fuel(enrich.attach_type(df, flights, s), regimes, fuel)
 
 
 def preprocess(samples: DataFrame, flights: DataFrame, regimes: DataFrame, fuel: DataFrame, s: Series,
@@ -75,8 +76,7 @@ def preprocess(samples: DataFrame, flights: DataFrame, regimes: DataFrame, fuel:
         labelled, even, air_distance_step(even), elapsed_step(even), step_length(even, "step_s"),
         between_step(F.col("phase") == "CLIMB", F.col("phase") == "DESCENT", cruise_like(), even),
     )
-    typed = unsliced(marked).withColumn("label", thrust_regime(F.col("phase")))
-    forced = _forces(typed, flights, regimes, fuel)
+    forced = _forces(marked.withColumn("label", thrust_regime(F.col("phase"))), flights, regimes, fuel, even)
     return unsliced(with_mass_loss(materialise(forced, "forced"), even, step="step_s")).drop("step_s")
 
 
@@ -94,7 +94,7 @@ def climb_preprocess(samples: DataFrame, flights: DataFrame, regimes: DataFrame,
     climb = smooth.filter(F.col("raw_phase") == "CLIMB").drop("raw_phase")
     climb = materialise(unsliced(cleaning.drop_unknown_entities(climb, even, [], min_rows=2)), "climb")
     marked = apply_steps(climb, even, air_distance_step(even), elapsed_step(even), step_length(even, "step_s"))
-    forced = _forces(unsliced(marked).withColumn("label", F.lit("climb")), flights, regimes, fuel)
+    forced = _forces(marked.withColumn("label", F.lit("climb")), flights, regimes, fuel, even)
     return unsliced(with_mass_loss(materialise(forced, "forced"), even, step="step_s")).drop("step_s")
 
 
@@ -110,8 +110,7 @@ def flight_feature_flow(enriched: DataFrame, s: Series) -> DataFrame:
 
 def climb_feature_flow(samples: DataFrame, flights: DataFrame, s: Series) -> DataFrame:
     """Band features and climb range of the climb samples, on the flight list."""
-    climb = samples.filter(F.col("phase") == "CLIMB").join(flights.select(s.key), s.key, "left_semi")
-    aired = _airspeed(climb)
+    aired = _airspeed(enrich.keep_known(samples.filter(F.col("phase") == "CLIMB"), flights, s))
     features = band_features(aired, s).join(climb_range_rate(aired, s), s.key, "left")
     return flights.join(features, s.key, "left")
 
