@@ -33,6 +33,14 @@ def tracks(spark: SparkSession, sf: str) -> DataFrame:
     return dedup_first(views.samples(spark, sf), [FX.key, FX.time], ["seq"])
 
 
+def stored_tracks(spark: SparkSession, sf: str) -> DataFrame:
+    """The deduplicated samples as a written table, for operators that read their input more than once.
+
+    The deduplication keeps whole rows, so reading two columns of it costs as much as reading all.
+    """
+    return materialise(tracks(spark, sf), "tracks")
+
+
 block("aired", """
   SELECT *, sqrt(pow(groundspeed * 0.514444e0 * sin(radians(track)) - u_component_of_wind, 2)
                + pow(groundspeed * 0.514444e0 * cos(radians(track)) - v_component_of_wind, 2)) / 0.514444e0 AS tas
@@ -113,7 +121,7 @@ block("enriched", mass_loss_sql("thrusted"))
 
 def enriched(spark: SparkSession, sf: str) -> DataFrame:
     """Deduplicated samples with airspeed, air distance, cruise flag, type, thrust, fuel and mass loss."""
-    base = materialise(with_tas(tracks(spark, sf)), "tracks")
+    base = with_tas(stored_tracks(spark, sf))
     df = apply_steps(base, FX, air_distance_step(FX), cruise_step(), step_length(FX, "step_s"))
     return with_mass_loss(with_forces(spark, sf, df), FX, step="step_s").drop("step_s")
 

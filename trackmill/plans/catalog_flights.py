@@ -450,11 +450,11 @@ def undersample(spark, sf):
 
 
 @query("weights_inverse_freq", rounded_sql("""
-SELECT x.flight_id, CASE WHEN x.airline = 'AL3' THEN m.top * 5 * 1.5e0 WHEN x.aircraft_type = 'B789' THEN m.top * 5 ELSE s.w END AS weight
+SELECT x.flight_id, CASE WHEN x.airline = 'AL3' THEN m.top * m.factor * 1.5e0 WHEN x.aircraft_type = 'B789' THEN m.top * 5 ELSE s.w END AS weight
 FROM flights x
 LEFT JOIN (SELECT aircraft_type, (SELECT count(aircraft_type) FROM flights) / CAST(count(*) AS DOUBLE) AS w
            FROM flights WHERE aircraft_type IS NOT NULL GROUP BY aircraft_type) s ON s.aircraft_type = x.aircraft_type
-JOIN (SELECT max(w) AS top FROM (SELECT (SELECT count(aircraft_type) FROM flights) / CAST(count(*) AS DOUBLE) AS w
+JOIN (SELECT max(w) AS top, (SELECT CASE WHEN count(*) > 0 THEN 5 ELSE 1 END FROM flights WHERE aircraft_type = 'B789') AS factor FROM (SELECT (SELECT count(aircraft_type) FROM flights) / CAST(count(*) AS DOUBLE) AS w
       FROM flights WHERE aircraft_type IS NOT NULL GROUP BY aircraft_type)) m ON true""", "weight", 6))
 def weights_inverse_freq(spark, sf):
     out = sampling.weights_inverse_freq(

@@ -231,7 +231,7 @@ FIRST_DAY_SQL = "CAST(epoch_us(min(event_time) OVER (PARTITION BY flight_id)) //
 @query("sink_daily", f"SELECT flight_id, seq, {FIRST_DAY_SQL} AS day_number FROM tracks")
 def sink_daily(spark, sf):
     path = fresh_path(spark, "daily")
-    df = materialise(blocks.tracks(spark, sf), "tracks")
+    df = blocks.stored_tracks(spark, sf)
     tables.write_daily(df, path, FX)
     # Writing a part of the flights' days again replaces those days only.
     first = tables.with_first_date(df, FX).drop("_slice")
@@ -503,7 +503,7 @@ SELECT f.flight_id, b.* EXCLUDE (flight_id), c.climb_range, c.climb_rate
 FROM flights f LEFT JOIN climb_banded b ON b.flight_id = f.flight_id LEFT JOIN climb_distance c ON c.flight_id = f.flight_id""",
     " ".join(f"spec_acc_mps_{b}" for b in flows.BANDS)))
 def pipe_climb_features(spark, sf):
-    out = flows.climb_feature_flow(blocks.tracks(spark, sf), views.flights(spark, sf).select("flight_id"), FX)
+    out = flows.climb_feature_flow(blocks.stored_tracks(spark, sf), views.flights(spark, sf).select("flight_id"), FX)
     return out.withColumns({
         c: (F.round(c, 4) if c.startswith("spec_acc") else F.col(c)) + F.lit(0.0) for c in out.columns if c != "flight_id"
     })
@@ -529,24 +529,24 @@ block("features", feature_sql("trimmed").replace("round(", "(").replace(", 4) +
 
 
 @query("pipe_assemble", rounded_sql("SELECT * FROM assembled", """great_circle_distance_km climb_range drag_term1 ceiling_diff
-  cruise_diff mach_diff climb_range_normalized flown_distance_normalized max_flown_dist min_climb_range""", 6))
+  cruise_diff mach_diff climb_range_normalized flown_distance_normalized max_flown_dist min_climb_range""", 7))
 def pipe_assemble(spark, sf):
     out = flows.assemble(
         views.flights(spark, sf), flows.flight_feature_flow(blocks.enriched(spark, sf), FX),
-        flows.climb_feature_flow(blocks.tracks(spark, sf), views.flights(spark, sf).select("flight_id"), FX),
+        flows.climb_feature_flow(blocks.stored_tracks(spark, sf), views.flights(spark, sf).select("flight_id"), FX),
         views.types(spark), views.airports(spark, sf), max_type_nulls=1 << 40, impute=None, drop_sparse=False,
     )
     return rounded(out.select(
         "flight_id", "great_circle_distance_km", "m_tow", "min_tow_ch", "max_tow_ch", "climb_range", "drag_term1", "ceiling_diff",
         "cruise_diff", "mach_diff", "climb_range_normalized", "flown_distance_normalized", "max_flown_dist", "min_climb_range",
-    ), 6)
+    ), 7)
 
 
 @query("pipe_assemble_imputed")
 def pipe_assemble_imputed(spark, sf):
     out = flows.assemble(
         views.flights(spark, sf), flows.flight_feature_flow(blocks.enriched(spark, sf), FX),
-        flows.climb_feature_flow(blocks.tracks(spark, sf), views.flights(spark, sf).select("flight_id"), FX),
+        flows.climb_feature_flow(blocks.stored_tracks(spark, sf), views.flights(spark, sf).select("flight_id"), FX),
         views.types(spark), views.airports(spark, sf), impute="linear",
         impute_columns=["m_tow", "great_circle_distance_km", "climb_range"],
     )

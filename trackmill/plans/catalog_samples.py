@@ -40,14 +40,14 @@ SELECT flight_id, seq FROM tracks WHERE flight_id IN (
   SELECT flight_id FROM tracks GROUP BY flight_id
   HAVING count(*) >= 62 AND quantile_cont(altitude, 0.8) >= 36030)""")
 def drop_short_entities(spark, sf):
-    kept = cleaning.drop_short_entities(blocks.tracks(spark, sf), FX, min_rows=62, floor=36_030.0)
+    kept = cleaning.drop_short_entities(blocks.stored_tracks(spark, sf), FX, min_rows=62, floor=36_030.0)
     return kept.select("flight_id", "seq")
 
 
 @query("sort_in_entity", """
 SELECT flight_id, seq, CAST(row_number() OVER (PARTITION BY flight_id ORDER BY event_time, seq) AS BIGINT) AS place FROM tracks""")
 def sort_in_entity(spark, sf):
-    df = timeseries.with_position(blocks.tracks(spark, sf), FX, "rn")
+    df = timeseries.with_position(blocks.stored_tracks(spark, sf), FX, "rn")
     return df.select("flight_id", "seq", (F.col("rn") + 1).alias("place"))
 
 
@@ -62,7 +62,7 @@ def dedup_first(spark, sf):
 SELECT flight_id, seq, (epoch_us(event_time) - epoch_us(min(event_time) OVER (PARTITION BY flight_id))) / 1e6 AS ts
 FROM tracks""")
 def elapsed_seconds(spark, sf):
-    return timeseries.with_elapsed(blocks.tracks(spark, sf), FX).select("flight_id", "seq", "ts")
+    return timeseries.with_elapsed(blocks.stored_tracks(spark, sf), FX).select("flight_id", "seq", "ts")
 
 
 @query("diff_rate", """
@@ -71,18 +71,18 @@ SELECT flight_id, seq, CASE WHEN t IS NULL THEN 0e0
 FROM (SELECT *, lag(event_time) OVER w AS t, lag(vertical_rate) OVER w AS v FROM tracks
       WINDOW w AS (PARTITION BY flight_id ORDER BY event_time, seq))""")
 def diff_rate(spark, sf):
-    df = timeseries.with_rate(blocks.tracks(spark, sf), "vertical_rate", "vertical_acc", FX, scale=60.0)
+    df = timeseries.with_rate(blocks.stored_tracks(spark, sf), "vertical_rate", "vertical_acc", FX, scale=60.0)
     return df.select("flight_id", "seq", "vertical_acc")
 
 
 @query("mean_step", "SELECT flight_id, seq, mean_step FROM stepped")
 def mean_step(spark, sf):
-    return timeseries.with_mean_step(blocks.tracks(spark, sf), FX).select("flight_id", "seq", "mean_step")
+    return timeseries.with_mean_step(blocks.stored_tracks(spark, sf), FX).select("flight_id", "seq", "mean_step")
 
 
 @query("air_distance", rounded_sql("SELECT flight_id, seq, airdist, distance FROM flown", "airdist distance", 3))
 def air_distance(spark, sf):
-    df = timeseries.with_air_distance(blocks.with_tas(blocks.tracks(spark, sf)), FX)
+    df = timeseries.with_air_distance(blocks.with_tas(blocks.stored_tracks(spark, sf)), FX)
     return rounded(df.select("flight_id", "seq", "airdist", "distance"), 3)
 
 
@@ -93,7 +93,7 @@ def mass_loss(spark, sf):
 
 @query("cruise_slice", "SELECT flight_id, seq, cruise FROM cruised")
 def cruise_slice(spark, sf):
-    df = blocks.with_tas(blocks.tracks(spark, sf))
+    df = blocks.with_tas(blocks.stored_tracks(spark, sf))
     marked = timeseries.mark_between(
         df, F.col("phase") == "CLIMB", F.col("phase") == "DESCENT", timeseries.cruise_like(), FX
     )
@@ -105,7 +105,7 @@ block("cruise_trimmed", blocks.trim_sql("cruised"))
 
 @query("cruise_trim", "SELECT flight_id, seq, in_cruise FROM cruise_trimmed")
 def cruise_trim(spark, sf):
-    df = blocks.with_tas(blocks.tracks(spark, sf))
+    df = blocks.with_tas(blocks.stored_tracks(spark, sf))
     marked = materialise(timeseries.apply_steps(df, FX, blocks.cruise_step()))
     return timeseries.trim_band_with_fallback(marked, FX).select("flight_id", "seq", "in_cruise")
 
@@ -149,13 +149,13 @@ block("grid_n", resample_sql("tracks", f"greatest(1, {SPAN_SQL})", "499", GRID_C
 
 @query("resample_fixed", rounded_sql("SELECT * FROM grid_fixed", "altitude groundspeed temperature"))
 def resample_fixed(spark, sf):
-    df = timeseries.resample_fixed(blocks.tracks(spark, sf), FX, GRID_COLUMNS, ["phase"])
+    df = timeseries.resample_fixed(blocks.stored_tracks(spark, sf), FX, GRID_COLUMNS, ["phase"])
     return rounded(df.select("flight_id", "grid_index", us(), *GRID_COLUMNS, "phase"))
 
 
 @query("resample_n", rounded_sql("SELECT * FROM grid_n", "altitude groundspeed temperature"))
 def resample_n(spark, sf):
-    df = timeseries.resample_n(blocks.tracks(spark, sf), FX, GRID_COLUMNS, ["phase"], n=500)
+    df = timeseries.resample_n(blocks.stored_tracks(spark, sf), FX, GRID_COLUMNS, ["phase"], n=500)
     return rounded(df.select("flight_id", "grid_index", us(), *GRID_COLUMNS, "phase"))
 
 
@@ -194,7 +194,7 @@ block("filtered", outlier_sql("tracks", OUTLIER_WINDOWS))
 
 @query("outlier_filter", rounded_sql("SELECT flight_id, seq, altitude, vertical_rate FROM filtered", "altitude vertical_rate"))
 def outlier_filter(spark, sf):
-    df = smoothing.outlier_filter(blocks.tracks(spark, sf), FX, OUTLIER_WINDOWS, block=16)
+    df = smoothing.outlier_filter(blocks.stored_tracks(spark, sf), FX, OUTLIER_WINDOWS, block=16)
     return rounded(df.select("flight_id", "seq", "altitude", "vertical_rate"))
 
 
@@ -214,7 +214,7 @@ SELECT flight_id, seq, smooth FROM (
   SELECT flight_id, seq, {_TERMS} AS smooth FROM tracks WINDOW w AS (PARTITION BY flight_id ORDER BY event_time, seq))
 WHERE smooth IS NOT NULL""", "smooth"))
 def savgol(spark, sf):
-    tracks = timeseries.with_position(blocks.tracks(spark, sf), FX, "rn", "n")
+    tracks = timeseries.with_position(blocks.stored_tracks(spark, sf), FX, "rn", "n")
     smooth = smoothing.savgol(tracks, FX, {"smooth": ("vertical_rate", _W)}, block=24)
     interior = (F.col("rn") >= SAVGOL_HALF) & (F.col("rn") < F.col("n") - SAVGOL_HALF)
     return rounded(smooth.filter(interior).select("flight_id", "seq", "smooth"))
@@ -324,7 +324,7 @@ SELECT a.flight_id, a.seq, a.tas * 0.514444e0 / sqrt(1.4e0 * 287.05e0 * a.temper
 FROM aired a JOIN flights f ON a.flight_id = f.flight_id LEFT JOIN types t ON t.ac = upper(trim(f.aircraft_type))""",
                            "mach mach_diff", 6))
 def mach(spark, sf):
-    df = enrich.attach_type(blocks.with_tas(blocks.tracks(spark, sf)), views.flights(spark, sf), FX)
+    df = enrich.attach_type(blocks.with_tas(blocks.stored_tracks(spark, sf)), views.flights(spark, sf), FX)
     df = df.withColumn("_ac", F.upper(F.trim("aircraft_type")))
     df = enrich.join_dim(df, views.types(spark), "_ac", "ac", {"cruise_mach": "cruise_mach"})
     df = enrich.with_mach(df, "tas", "temperature")
@@ -364,7 +364,7 @@ def type_substitute(spark, sf):
 
 @query("thrust_fuel", rounded_sql("SELECT flight_id, seq, label, thrust, fuelflow FROM thrusted", "thrust fuelflow"))
 def thrust_fuel(spark, sf):
-    df = blocks.with_forces(spark, sf, blocks.with_tas(blocks.tracks(spark, sf)))
+    df = blocks.with_forces(spark, sf, blocks.with_tas(blocks.stored_tracks(spark, sf)))
     return rounded(df.select("flight_id", "seq", "label", "thrust", "fuelflow"))
 
 
@@ -395,8 +395,10 @@ def duration_sql() -> str:
     return ",\n  ".join(parts)
 
 
-#: Means of values with two decimals often end in a 5 at the fifth; they are compared more finely.
-FEATURE_DIGITS = dict.fromkeys(["mean_cruise_altitude", "mean_rod", "mean_roc", "mean_initroc"], 7)
+#: Means of values with few decimals can end in a 5 at the fifth; they are compared more finely.
+FEATURE_DIGITS = dict.fromkeys([
+    "mean_cruise_altitude", "mean_rod", "mean_roc", "mean_initroc", "mean_latitude", "mean_longitude",
+], 7)
 
 
 def feature_digits(df):
@@ -452,7 +454,7 @@ def flight_features(spark, sf):
 
 @query("durations", f"SELECT flight_id,\n  {duration_sql()}\nFROM cruise_trimmed GROUP BY flight_id")
 def durations(spark, sf):
-    df = blocks.with_tas(blocks.tracks(spark, sf))
+    df = blocks.with_tas(blocks.stored_tracks(spark, sf))
     marked = materialise(timeseries.apply_steps(df, FX, blocks.cruise_step()))
     return features.durations(timeseries.trim_band_with_fallback(marked, FX), FX)
 
@@ -513,7 +515,7 @@ SELECT f.flight_id, b.* EXCLUDE (flight_id), c.climb_range, c.climb_rate
 FROM flights f LEFT JOIN banded b ON b.flight_id = f.flight_id LEFT JOIN climb_ranges c ON c.flight_id = f.flight_id""",
     " ".join(f"spec_acc_mps_{b}" for b in enrich.BANDS)))
 def join_back_features(spark, sf):
-    tracks = blocks.with_tas(blocks.tracks(spark, sf))
+    tracks = blocks.with_tas(blocks.stored_tracks(spark, sf))
     out = views.flights(spark, sf).select("flight_id")
     out = out.join(features.band_features(tracks, FX), "flight_id", "left")
     out = out.join(features.climb_range_rate(tracks, FX), "flight_id", "left")

@@ -42,7 +42,11 @@ b AS (
          CASE WHEN event_id % 23 = 0 THEN NULL ELSE 28815e-2 - 19812e-7 * 36e3 * prof END AS temperature,
          1e-2 * exp(-36e3 * prof / 8e3) AS specific_humidity
   FROM p)
-SELECT * FROM b UNION ALL SELECT * FROM b WHERE seq % 50 = 0"""
+{doubled}"""
+
+# Every fiftieth sample is delivered twice.
+_DOUBLED = "SELECT * FROM b UNION ALL SELECT * FROM b WHERE seq % 50 = 0"
+_DOUBLED_IN_ONE_PASS = "SELECT b.* FROM b LATERAL VIEW explode(IF(seq % 50 = 0, array(1, 2), array(1))) AS delivery"
 
 _FLIGHTS = """
 SELECT o.o_orderkey AS flight_id, CAST(o.o_orderdate AS DATE) AS flight_date,
@@ -105,7 +109,7 @@ _PLAIN = {"orders": "orders", "customer": "customer", "nation": "nation"}
 
 #: View name -> SQL for the oracle engine.
 ORACLE_VIEWS = {
-    "samples": _SAMPLES.replace("{ranked}", f"({_RANKED})"),
+    "samples": _SAMPLES.replace("{ranked}", f"({_RANKED})").replace("{doubled}", _DOUBLED),
     "flights": _FLIGHTS.format(**_PLAIN),
     "airports": _AIRPORTS.format(**_PLAIN),
     "types": _TYPES,
@@ -131,7 +135,8 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranked = with_position(events, by_user, "_rn", "_n").withColumn(
         "frac", F.when(F.col("_n") > 1, F.col("_rn") / (F.col("_n") - 1)).otherwise(0.0)
     )
-    return spark.sql(_SAMPLES, ranked=ranked.select("event_id", "user_id", "ts", "value", "frac"))
+    text = _SAMPLES.replace("{doubled}", _DOUBLED_IN_ONE_PASS)
+    return spark.sql(text, ranked=ranked.select("event_id", "user_id", "ts", "value", "frac"))
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
