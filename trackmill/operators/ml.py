@@ -178,8 +178,9 @@ def run_jobs(tasks: Sequence[Callable], parallel: int = 4) -> list:
     """Submit independent Spark fits from a few driver threads; the cluster runs their jobs side by side."""
     if parallel <= 1 or len(tasks) <= 1:
         return [t() for t in tasks]
+    inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPool(min(parallel, len(tasks))) as pool:
-        return pool.map(lambda task: inheritable_thread_target(task)(), tasks)
+        return pool.map(lambda task: inherit(task)(), tasks)
 
 
 def train_per_group(df: DataFrame, features: Features, groups: Sequence, by: str = "aircraft_type",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trackmill.functions.timing import micros
+from trackmill.functions.timing import floor_div, micros
 from trackmill.operators.cleaning import nan_to_null
 from trackmill.operators.slices import Series, sliced, with_carry
 
@@ -60,13 +60,21 @@ def read_flights(spark: SparkSession, paths: Mapping[str, str], schema: T.Struct
 
 def read_samples(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
                  time: str = "event_time", schema: T.StructType | None = None) -> DataFrame:
-    """Sample files: NaN becomes NULL, the time becomes a session-zone timestamp."""
+    """Sample files: NaN becomes NULL, the time becomes a session-zone timestamp.
+
+    Files written by pandas hold nanoseconds, which the engine reads only as integers.
+    """
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     reader = spark.read.schema(schema) if schema else spark.read
     df = reader.parquet(path)
     if columns:
         df = df.select(*columns)
     if time in df.columns:
-        df = df.withColumn(time, F.col(time).cast("timestamp"))
+        if isinstance(df.schema[time].dataType, T.LongType):
+            instant = F.timestamp_micros(floor_div(F.col(time), F.lit(1000)))
+        else:
+            instant = F.col(time).cast("timestamp")
+        df = df.withColumn(time, instant)
     return nan_to_null(df)
 
 
