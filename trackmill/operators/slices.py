@@ -14,7 +14,7 @@ All operators share that partitioning, so one exchange of the samples serves a c
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -112,12 +112,16 @@ def join_entity(df: DataFrame, s: Series, attributes: DataFrame, how: str = "inn
 class Step:
     """One ordered computation: what to summarise per slice, what to carry, what to add to the rows.
 
-    ``columns`` may use the carries and windows over the rows of a slice.
+    ``prepare`` holds row columns (also windows inside the slice) the summary needs; ``late``
+    are carries computed from other carries; ``columns`` may use all of them and windows over
+    the rows of a slice.
     """
 
     aggs: Mapping[str, Column]
     carries: Mapping[str, Column]
     columns: Mapping[str, Column]
+    prepare: Mapping[str, Column] = field(default_factory=dict)
+    late: Mapping[str, Column] = field(default_factory=dict)
 
 
 def apply_steps(df: DataFrame, s: Series, *steps: Step) -> DataFrame:
@@ -125,14 +129,15 @@ def apply_steps(df: DataFrame, s: Series, *steps: Step) -> DataFrame:
 
     The samples are read twice however many steps there are.
     """
-    aggs: dict[str, Column] = {}
-    carries: dict[str, Column] = {}
-    columns: dict[str, Column] = {}
-    for step in steps:
-        aggs.update(step.aggs)
-        carries.update(step.carries)
-        columns.update(step.columns)
-    return with_carry(sliced(df, s), s, aggs, carries).withColumns(columns).drop(*carries)
+    def merged(part: str) -> dict[str, Column]:
+        return {n: c for step in steps for n, c in getattr(step, part).items()}
+
+    prepare, carries, late, columns = (merged(p) for p in ("prepare", "carries", "late", "columns"))
+    rows = sliced(df, s).withColumns(prepare)
+    summary = rows.groupBy(*s.group).agg(*[c.alias(n) for n, c in merged("aggs").items()])
+    carried = summary.withColumns(carries).withColumns(late).select(*s.group, *carries, *late)
+    out = rows.join(carried, list(s.group), "left").withColumns(columns)
+    return out.drop(*[c for c in (*prepare, *carries, *late) if c not in columns])
 
 
 def before(s: Series) -> WindowSpec:
@@ -188,34 +193,32 @@ def own_rows(df: DataFrame) -> DataFrame:
     return df.filter("_own").drop("_own", "_block", "_rn", "_n")
 
 
-def neighbours(df: DataFrame, s: Series, cols: Sequence[str]) -> DataFrame:
+def neighbours_step(s: Series, cols: Sequence[str]) -> Step:
     """Nearest known sample of each column at or before and strictly after each row.
 
     Adds ``_prev_<c>`` and ``_next_<c>`` structs ``(us, v)``, NULL where there is none.
     """
-    out = sliced(df, s).withColumn("_us", micros(s.time))
-    for c in cols:
-        out = out.withColumn(f"_pt_{c}", F.when(F.col(c).isNotNull(), F.struct(F.col("_us").alias("us"), F.col(c).alias("v"))))
+    us, place = micros(s.time), position(s)
+    here = s.rows().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     aggs: dict[str, Column] = {}
     carries: dict[str, Column] = {}
-    place = position(s)
+    columns: dict[str, Column] = {}
+    prepare: dict[str, Column] = {}
     for c in cols:
         known = F.col(c).isNotNull()
-        aggs[f"_first_{c}"] = F.min(F.when(known, F.struct(place.alias("p"), F.col(f"_pt_{c}").alias("pt"))))
-        aggs[f"_last_{c}"] = F.max(F.when(known, F.struct(place.alias("p"), F.col(f"_pt_{c}").alias("pt"))))
-        carries[f"_before_{c}"] = F.last(f"_last_{c}.pt", ignorenulls=True).over(before(s))
-        carries[f"_after_{c}"] = F.expr(f"lead(`_first_{c}`.pt, 1) IGNORE NULLS OVER ({s.slice_sql()})")
-    out = with_carry(out, s, aggs, carries)
-    here = s.rows().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    for c in cols:
-        out = out.withColumn(
-            f"_prev_{c}", F.coalesce(F.last(f"_pt_{c}", ignorenulls=True).over(here), F.col(f"_before_{c}"))
-        ).withColumn(
-            f"_next_{c}",
-            F.coalesce(F.expr(f"lead(`_pt_{c}`, 1) IGNORE NULLS OVER ({s.row_sql()})"), F.col(f"_after_{c}")),
+        prepare[f"_pt_{c}"] = F.when(known, F.struct(us.alias("us"), F.col(c).alias("v")))
+        placed = F.when(known, F.struct(place.alias("p"), us.alias("us"), F.col(c).alias("v")))
+        aggs[f"_first_{c}"] = F.min(placed)
+        aggs[f"_last_{c}"] = F.max(placed)
+        carries[f"_before_{c}"] = F.last(f"_last_{c}", ignorenulls=True).over(before(s))
+        carries[f"_after_{c}"] = F.expr(f"lead(`_first_{c}`, 1) IGNORE NULLS OVER ({s.slice_sql()})")
+        earlier, later = (
+            F.when(F.col(f"_{side}_{c}").isNotNull(), F.struct(F.col(f"_{side}_{c}.us"), F.col(f"_{side}_{c}.v")))
+            for side in ("before", "after")
         )
-    drop = [f"{p}_{c}" for c in cols for p in ("_pt", "_before", "_after")]
-    return out.drop("_us", *drop)
+        columns[f"_prev_{c}"] = F.coalesce(F.last(f"_pt_{c}", ignorenulls=True).over(here), earlier)
+        columns[f"_next_{c}"] = F.coalesce(F.expr(f"lead(`_pt_{c}`, 1) IGNORE NULLS OVER ({s.row_sql()})"), later)
+    return Step(aggs, carries, columns, prepare)
 
 
 def between_neighbours(at_us: Column, c: str) -> Column:

@@ -18,7 +18,7 @@ from trackmill.operators.slices import (
     between_neighbours,
     carried_total,
     join_entity,
-    neighbours,
+    neighbours_step,
     position,
     position_step,
     with_carry,
@@ -44,13 +44,6 @@ def _lagged(s: Series, tag: str, packed: Column) -> tuple[dict[str, Column], dic
     return aggs, carries, F.coalesce(F.lag(packed).over(s.rows()), F.col(f"_lag_{tag}"))
 
 
-def step_length(s: Series = DEFAULT, name: str = "step_s") -> Step:
-    """Seconds since the previous sample, NULL on the first."""
-    us = micros(s.time)
-    aggs, carries, lag = _lagged(s, f"us_{name}", us)
-    return Step(aggs, carries, {name: seconds(us - lag)})
-
-
 def rate_step(col: str, name: str, s: Series = DEFAULT, scale: float = 1.0, first: float | None = 0.0) -> Step:
     """Difference quotient of ``col`` over seconds, divided by ``scale``.
 
@@ -119,19 +112,26 @@ def with_air_distance(df: DataFrame, s: Series = DEFAULT, tas: str = "tas",
     return apply_steps(df, s, air_distance_step(s, tas, name, total))
 
 
-def with_mass_loss(df: DataFrame, s: Series = DEFAULT, flow: str = "fuelflow", name: str = "mass_loss",
-                   step: str | None = None) -> DataFrame:
+def mass_loss_step(s: Series = DEFAULT, flow: str = "fuelflow", name: str = "mass_loss") -> Step:
     """Fuel burnt since the first sample: flow times elapsed time, summed; unknown flow burns nothing.
 
-    ``step`` names a column that already holds the seconds since the previous sample.
+    A slice sums its inner intervals; the one across its border belongs to its first row.
     """
-    out = df if step else apply_steps(df, s, step_length(s, "_step"))
-    out = out.withColumn("_burn", F.coalesce(F.col(flow) * F.col(step or "_step"), F.lit(0.0)))
-    out = apply_steps(out, s, Step(
-        {"_burnt": F.sum("_burn")}, {"_burnt0": _before_sum("_burnt", s)},
-        {name: F.col("_burnt0") + _running_sum("_burn", s)},
-    ))
-    return out.drop("_burn", "_step")
+    us = micros(s.time)
+    inner = seconds(us - F.lag(us).over(s.rows()))
+    head = F.min(F.struct(position(s).alias("p"), us.alias("us"), F.col(flow).alias("flow")))
+    border = F.col("_head.flow") * seconds(F.col("_head.us") - F.lag("_tail").over(s.slices()))
+    return Step(
+        aggs={"_inner": F.sum("_burn"), "_head": head, "_tail": F.max(us)},
+        carries={"_border": F.coalesce(border, F.lit(0.0)), "_inner_sum": F.col("_inner")},
+        late={"_burnt0": F.coalesce(F.sum(F.col("_border") + F.col("_inner_sum")).over(before(s)), F.lit(0.0))},
+        columns={name: F.col("_burnt0") + F.col("_border") + _running_sum("_burn", s)},
+        prepare={"_burn": F.coalesce(F.col(flow) * inner, F.lit(0.0))},
+    )
+
+
+def with_mass_loss(df: DataFrame, s: Series = DEFAULT, flow: str = "fuelflow", name: str = "mass_loss") -> DataFrame:
+    return apply_steps(df, s, mass_loss_step(s, flow, name))
 
 
 # What counts as level flight at cruise.
@@ -243,11 +243,13 @@ def _resampled(df: DataFrame, s: Series, numeric: Sequence[str], carried: Sequen
         out = out.withColumns({f"{c}_sin": F.sin(F.radians(c)), f"{c}_cos": F.cos(F.radians(c))})
     blended = [c for c in numeric if c not in turns] + [f"{c}_{f}" for c in turns for f in ("sin", "cos")]
 
-    out = neighbours(out, s, [*blended, *carried]).withColumn("_us", micros(s.time))
+    out = out.withColumn("_us", micros(s.time))
     aggs, carries = _extent(s)
     carries["_us_after"] = F.lead("_lo").over(s.slices())
-    out = with_carry(out, s, aggs, carries).withColumns({"_num": num, "_den": den})
     following = F.coalesce(F.lead("_us").over(s.rows()), F.col("_us_after"))
+    grid = {"_start": F.col("_start"), "_end": F.col("_end"), "_following": following, "_num": num, "_den": den}
+    out = apply_steps(out, s, neighbours_step(s, [*blended, *carried]), Step(aggs, carries, grid))
+    following = F.col("_following")
     start, scale = F.col("_start"), F.col("_den")
     first = ceil_div((F.col("_us") - start) * scale, F.col("_num"))
     last = F.when(
@@ -295,7 +297,7 @@ def resample_n(df: DataFrame, s: Series = DEFAULT, numeric: Sequence[str] = (),
 
 def interpolate_nulls(df: DataFrame, s: Series, cols: Sequence[str]) -> DataFrame:
     """Fill NULLs from the nearest known samples of the same column; NULLs at the ends stay."""
-    out = neighbours(df, s, cols)
+    out = apply_steps(df, s, neighbours_step(s, cols))
     at = micros(s.time)
     out = out.withColumns({c: F.coalesce(F.col(c), between_neighbours(at, c)) for c in cols})
     return out.drop(*[f"_{side}_{c}" for c in cols for side in ("prev", "next")])

@@ -14,8 +14,7 @@ from trackmill.operators.timeseries import (
     air_distance_step,
     between_step,
     cruise_like,
-    step_length,
-    with_mass_loss,
+    mass_loss_step,
 )
 from trackmill.plans.registry import block
 from trackmill.session import materialise
@@ -119,11 +118,13 @@ def mass_loss_sql(source: str) -> str:
 block("enriched", mass_loss_sql("thrusted"))
 
 
-def enriched(spark: SparkSession, sf: str) -> DataFrame:
-    """Deduplicated samples with airspeed, air distance, cruise flag, type, thrust, fuel and mass loss."""
-    base = with_tas(stored_tracks(spark, sf))
-    df = apply_steps(base, FX, air_distance_step(FX), cruise_step(), step_length(FX, "step_s"))
-    return with_mass_loss(with_forces(spark, sf, df), FX, step="step_s").drop("step_s")
+def enriched(spark: SparkSession, sf: str, *more) -> DataFrame:
+    """Deduplicated samples with airspeed, air distance, cruise flag, type, thrust, fuel and mass loss.
+
+    Thrust and fuel only need the row, so they come first, and all ordered steps share one pass.
+    """
+    forced = with_forces(spark, sf, with_tas(stored_tracks(spark, sf)))
+    return apply_steps(forced, FX, air_distance_step(FX), cruise_step(), mass_loss_step(FX), *more)
 
 
 block("rated", """

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from trackmill.functions import geo, physics
 from trackmill.functions.timing import micros
 from trackmill.operators import cleaning, enrich, features, smoothing, timeseries
+from trackmill.operators.slices import unsliced
 from trackmill.plans import blocks
 from trackmill.plans.blocks import FX
 from trackmill.plans.registry import block, query, rounded, rounded_sql
@@ -443,8 +444,8 @@ def feature_sql(source: str) -> str:
 
 def trimmed(spark, sf):
     """Enriched samples with vertical acceleration and the steady-cruise mark."""
-    rated = timeseries.with_rate(blocks.enriched(spark, sf), "vertical_rate", "vertical_acc", FX, scale=60.0)
-    return timeseries.trim_band_with_fallback(materialise(rated.drop("_slice"), "rated"), FX)
+    rated = blocks.enriched(spark, sf, timeseries.rate_step("vertical_rate", "vertical_acc", FX, scale=60.0))
+    return timeseries.trim_band_with_fallback(materialise(unsliced(rated), "rated"), FX)
 
 
 @query("flight_features", feature_sql("trimmed"))

@@ -19,11 +19,10 @@ from trackmill.operators.timeseries import (
     between_step,
     cruise_like,
     elapsed_step,
+    mass_loss_step,
     resample_fixed,
     resample_n,
-    step_length,
     trim_band_with_fallback,
-    with_mass_loss,
     with_rate,
 )
 from trackmill.session import materialise
@@ -66,18 +65,18 @@ def preprocess(samples: DataFrame, flights: DataFrame, regimes: DataFrame, fuel:
     Stages are written where the next step reads its input more than once.
     """
     tracks = _known_tracks(samples, flights, s)
-    filtered = materialise(unsliced(outlier_filter(tracks, s, windows or FILTER_WINDOWS, block)), "filtered")
+    filtered = materialise(unsliced(outlier_filter(tracks, s, windows or FILTER_WINDOWS, block)), "clean")
     kept = unsliced(cleaning.drop_short_entities(filtered, s, min_rows, floor=floor))
     even = Series(s.key, s.time, ("grid_index",), s.slice_s)
     grid = materialise(resample_fixed(kept, s, numbers, points=grid_points), "grid")
     spaced = materialise(_airspeed(resample_n(grid, even, numbers, n=even_points)), "spaced")
     labelled = phase_label(spaced, even, bucket_s=None)
-    marked = apply_steps(
-        labelled, even, air_distance_step(even), elapsed_step(even), step_length(even, "step_s"),
+    labelled = labelled.withColumn("label", thrust_regime(F.col("phase")))
+    forced = _forces(labelled, flights, regimes, fuel, even)
+    return unsliced(apply_steps(
+        forced, even, air_distance_step(even), elapsed_step(even), mass_loss_step(even),
         between_step(F.col("phase") == "CLIMB", F.col("phase") == "DESCENT", cruise_like(), even),
-    )
-    forced = _forces(marked.withColumn("label", thrust_regime(F.col("phase"))), flights, regimes, fuel, even)
-    return unsliced(with_mass_loss(materialise(forced, "forced"), even, step="step_s")).drop("step_s")
+    ))
 
 
 def climb_preprocess(samples: DataFrame, flights: DataFrame, regimes: DataFrame, fuel: DataFrame, s: Series,
@@ -93,9 +92,8 @@ def climb_preprocess(samples: DataFrame, flights: DataFrame, regimes: DataFrame,
     smooth = unsliced(smooth_climb(complete, even, wide=wide, narrow=narrow))
     climb = smooth.filter(F.col("raw_phase") == "CLIMB").drop("raw_phase")
     climb = materialise(unsliced(cleaning.drop_unknown_entities(climb, even, [], min_rows=2)), "climb")
-    marked = apply_steps(climb, even, air_distance_step(even), elapsed_step(even), step_length(even, "step_s"))
-    forced = _forces(marked.withColumn("label", F.lit("climb")), flights, regimes, fuel, even)
-    return unsliced(with_mass_loss(materialise(forced, "forced"), even, step="step_s")).drop("step_s")
+    forced = _forces(climb.withColumn("label", F.lit("climb")), flights, regimes, fuel, even)
+    return unsliced(apply_steps(forced, even, air_distance_step(even), elapsed_step(even), mass_loss_step(even)))
 
 
 def flight_feature_flow(enriched: DataFrame, s: Series) -> DataFrame:
