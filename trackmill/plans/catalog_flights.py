@@ -54,6 +54,12 @@ def cast_int_out(spark, sf):
     return views.preds(spark, sf).select("flight_id", "model_id", F.col("tow_pred").cast("bigint").alias("tow"))
 
 
+@query("dtype_select", "SELECT flight_id, flight_duration, flown_distance, tow FROM flights")
+def dtype_select(spark, sf):
+    df = views.flights(spark, sf)
+    return df.select(*cleaning.numeric_columns(df))
+
+
 @query("parse_time", """
 SELECT flight_id, epoch_us(date_trunc('second', actual_offblock_time)) AS offblock_us,
        CAST(epoch_us(CAST(flight_date AS TIMESTAMP)) // 86400000000 AS BIGINT) AS day_number FROM flights""")
@@ -449,6 +455,12 @@ def undersample(spark, sf):
     return sampling.undersample(views.flights(spark, sf), "aircraft_type", "B789").select("flight_id", "aircraft_type")
 
 
+@query("weights_unit", "SELECT flight_id, 1e0 AS weight FROM flights WHERE tow IS NOT NULL")
+def weights_unit(spark, sf):
+    labelled = views.flights(spark, sf).filter(F.col("tow").isNotNull())
+    return sampling.weights_manual(labelled, []).select("flight_id", "weight")
+
+
 @query("weights_inverse_freq", rounded_sql("""
 SELECT x.flight_id, CASE WHEN x.airline = 'AL3' THEN m.top * m.factor * 1.5e0 WHEN x.aircraft_type = 'B789' THEN m.top * 5 ELSE s.w END AS weight
 FROM flights x

@@ -49,9 +49,20 @@ def shared_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+def stage_root(spark: SparkSession) -> str:
+    """Where this application keeps its written stages."""
+    return f"{shared_dir(spark)}/trackmill/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path nobody has used yet under the shared folder."""
-    return f"{shared_dir(spark)}/trackmill/{label}-{uuid.uuid4().hex}"
+    return f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_stages(spark: SparkSession) -> bool:
+    """Delete the stages this application has written.  Frames read from them become unusable."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(stage_root(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
