@@ -40,10 +40,11 @@ def stored_tracks(spark: SparkSession, sf: str) -> DataFrame:
     return materialise(tracks(spark, sf), "tracks")
 
 
-block("aired", """
+BLOCK_AIRED = """
   SELECT *, sqrt(pow(groundspeed * 0.514444e0 * sin(radians(track)) - u_component_of_wind, 2)
                + pow(groundspeed * 0.514444e0 * cos(radians(track)) - v_component_of_wind, 2)) / 0.514444e0 AS tas
-  FROM tracks""")
+  FROM tracks"""
+block("aired", BLOCK_AIRED)
 
 
 def with_tas(df: DataFrame) -> DataFrame:

@@ -479,7 +479,68 @@ def pipe_preprocess(spark, sf):
     ), 2)
 
 
-@query("pipe_climb_preprocess")
+def parabola_sql(x: str, m: tuple[str, str, str], h: int) -> str:
+    """Least-squares parabola over 2h+1 points at offset ``x`` from the moments ``m`` about the centre."""
+    n = 2 * h + 1
+    m2 = h * (h + 1) * n / 3
+    m4 = m2 * (3 * h * h + 3 * h - 1) / 5
+    det = n * m4 - m2 * m2
+    m0, m1, mm = m
+    return (f"((({m0}) * {m4!r} - ({mm}) * {m2!r}) / {det!r} + ({m1}) / {m2!r} * ({x})"
+            f" + (({mm}) * {n}e0 - ({m0}) * {m2!r}) / {det!r} * ({x}) * ({x}))")
+
+
+def smooth_sql(c: str, h: int) -> str:
+    """Column ``c`` (as ``y_c``, about its mean ``mid_c``) smoothed over 2h+1 rows of numbered rows."""
+    frame = f"(PARTITION BY flight_id ORDER BY rn ROWS BETWEEN {h} PRECEDING AND {h} FOLLOWING)"
+    s0, s1, s2 = (f"sum({w}y_{c}) OVER {frame}" for w in ("", "mid_rn * ", "mid_rn * mid_rn * "))
+    centred = (s0, f"{s1} - mid_rn * {s0}", f"{s2} - 2e0 * mid_rn * {s1} + mid_rn * mid_rn * {s0}")
+
+    def edge(inside: str, centre: str):
+        return tuple(
+            f"sum(CASE WHEN {inside} THEN pow(rn - ({centre}), {k}) * y_{c} END) OVER (PARTITION BY flight_id)" for k in range(3)
+        )
+
+    head = parabola_sql(f"rn - {h}", edge(f"rn <= {2 * h}", f"{h}"), h)
+    tail = parabola_sql(f"rn - (n - 1 - {h})", edge(f"rn >= n - {2 * h + 1}", f"n - 1 - {h}"), h)
+    return (f"CASE WHEN n < {2 * h + 1} THEN {c} WHEN rn < {h} THEN {head} + mid_{c}"
+            f" WHEN rn >= n - {h} THEN {tail} + mid_{c} ELSE {parabola_sql('0e0', centred, h)} + mid_{c} END")
+
+
+block("fine_kept", """
+  SELECT * FROM pre_known WHERE flight_id IN (
+    SELECT flight_id FROM pre_known GROUP BY flight_id HAVING count(*) >= 10 AND quantile_cont(altitude, 0.8) >= 10000)""")
+block("fine_grid", resample_sql("fine_kept", "1800000000", "1", _GRID, ()))
+block("fine_aired", blocks.BLOCK_AIRED.replace("SELECT *,", "SELECT *, make_timestamp(us) AS event_time, grid_index AS seq,").replace("tracks", "fine_grid"))
+block("fine_fuzzy", phase_sql("fine_aired"))
+block("fine_numbered", """
+  SELECT *, altitude - mid_altitude AS y_altitude, vertical_rate - mid_vertical_rate AS y_vertical_rate,
+         CAST(rn - n // 2 AS DOUBLE) AS mid_rn
+  FROM (SELECT *, row_number() OVER (PARTITION BY flight_id ORDER BY grid_index) - 1 AS rn, count(*) OVER f AS n,
+               avg(altitude) OVER f AS mid_altitude, avg(vertical_rate) OVER f AS mid_vertical_rate
+        FROM fine_fuzzy WHERE altitude IS NOT NULL AND vertical_rate IS NOT NULL WINDOW f AS (PARTITION BY flight_id))""")
+block("fine_smooth", f"""
+  SELECT * REPLACE (CASE WHEN n >= 300 THEN wide WHEN n >= 100 THEN narrow ELSE altitude END AS altitude,
+                    CASE WHEN n >= 100 THEN rate ELSE vertical_rate END AS vertical_rate)
+  FROM (SELECT *, {smooth_sql('altitude', 150)} AS wide, {smooth_sql('altitude', 50)} AS narrow,
+               {smooth_sql('vertical_rate', 50)} AS rate FROM fine_numbered)""")
+block("fine_climb", """
+  SELECT * FROM (SELECT *, fuzzy AS phase, count(*) OVER (PARTITION BY flight_id) AS climb_rows FROM fine_smooth WHERE fuzzy = 'CLIMB')
+  WHERE climb_rows >= 2""")
+block("fine_stepped", """
+  SELECT *, (epoch_us(max(event_time) OVER w) - epoch_us(min(event_time) OVER w)) / 1e6 / nullif(count(*) OVER w - 1, 0) AS mean_step
+  FROM fine_climb WINDOW w AS (PARTITION BY flight_id)""")
+block("fine_flown", """
+  SELECT * EXCLUDE (mean_step), CASE WHEN tas IS NOT NULL THEN
+           sum(tas) OVER (PARTITION BY flight_id ORDER BY event_time, seq ROWS UNBOUNDED PRECEDING) * mean_step * 0.514444e0 / 1e3 END AS airdist
+  FROM fine_stepped""")
+block("fine_thrusted", "SELECT * EXCLUDE (thrust_raw) FROM (" + blocks.thrust_sql("fine_flown") + ")")
+block("fine_enriched", blocks.mass_loss_sql("fine_thrusted"))
+
+
+@query("pipe_climb_preprocess", rounded_sql("""
+SELECT flight_id, grid_index, altitude, vertical_rate, tas, airdist, thrust, mass_loss FROM fine_enriched""",
+    "altitude vertical_rate tas airdist thrust mass_loss", 1))
 def pipe_climb_preprocess(spark, sf):
     # Samples are hours apart here, so the one-second grid becomes one of half hours.
     out = flows.climb_preprocess(
