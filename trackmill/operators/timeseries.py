@@ -249,6 +249,18 @@ def _resampled(df: DataFrame, s: Series, numeric: Sequence[str], carried: Sequen
     following = F.coalesce(F.lead("_us").over(s.rows()), F.col("_us_after"))
     grid = {"_start": F.col("_start"), "_end": F.col("_end"), "_following": following, "_num": num, "_den": den}
     out = apply_steps(out, s, neighbours_step(s, [*blended, *carried]), Step(aggs, carries, grid))
+    # The line through the neighbours is settled per sample, so a grid point costs one multiplication.
+    lines = {}
+    for c in blended:
+        lo, hi = F.col(f"_prev_{c}"), F.col(f"_next_{c}")
+        lines |= {
+            f"_at_{c}": lo["us"], f"_value_{c}": lo["v"],
+            f"_slope_{c}": (hi["v"] - lo["v"]) / (hi["us"] - lo["us"]).cast("double"),
+        }
+    out = out.select(
+        s.key, "_us", "_start", "_end", "_following", "_num", "_den", *[c.alias(n) for n, c in lines.items()],
+        *[F.col(f"_prev_{c}.v").alias(c) for c in carried],
+    )
     following = F.col("_following")
     start, scale = F.col("_start"), F.col("_den")
     first = ceil_div((F.col("_us") - start) * scale, F.col("_num"))
@@ -261,7 +273,12 @@ def _resampled(df: DataFrame, s: Series, numeric: Sequence[str], carried: Sequen
         .withColumn("_i", F.explode(F.expr(f"sequence(_c, least(_c + {_GRID_CHUNK - 1}L, _i1 - 1))")))
         .withColumn("_at", start + floor_div(F.col("_i") * F.col("_num"), scale))
     )
-    values = {c: between_neighbours(F.col("_at"), c) for c in blended}
+
+    def blend(c: str) -> Column:
+        value, past = F.col(f"_value_{c}"), F.col("_at") - F.col(f"_at_{c}")
+        return F.when(past == 0, value).otherwise(value + F.col(f"_slope_{c}") * past)
+
+    values = {c: blend(c) for c in blended}
     for c in turns:
         angle = F.degrees(F.atan2(values.pop(f"{c}_sin"), values.pop(f"{c}_cos")))
         values[c] = F.pmod(angle, F.lit(360.0))
@@ -270,7 +287,7 @@ def _resampled(df: DataFrame, s: Series, numeric: Sequence[str], carried: Sequen
         F.col("_i").alias("grid_index"),
         F.timestamp_micros(F.col("_at")).alias(s.time),
         *[values[c].alias(c) for c in numeric],
-        *[F.col(f"_prev_{c}.v").alias(c) for c in carried],
+        *carried,
     )
 
 

@@ -12,7 +12,7 @@ from trackmill.functions.physics import true_airspeed
 from trackmill.functions.timing import hour_partition
 from trackmill.operators import cleaning, encoding, enrich, ml, selection, stats
 from trackmill.operators.features import band_features, climb_range_rate, flight_features
-from trackmill.operators.slices import Series, apply_steps, unsliced
+from trackmill.operators.slices import Series, apply_steps, position_step, unsliced
 from trackmill.operators.smoothing import outlier_filter, phase_label, smooth_climb, thrust_regime
 from trackmill.operators.timeseries import (
     air_distance_step,
@@ -90,10 +90,12 @@ def climb_preprocess(samples: DataFrame, flights: DataFrame, regimes: DataFrame,
     labelled = phase_label(grid, even, bucket_s=None)
     complete = labelled.dropna(subset=["altitude", "vertical_rate"]).withColumn("raw_phase", F.col("phase"))
     smooth = unsliced(smooth_climb(complete, even, wide=wide, narrow=narrow))
-    climb = smooth.filter(F.col("raw_phase") == "CLIMB").drop("raw_phase")
-    climb = materialise(unsliced(cleaning.drop_unknown_entities(climb, even, [], min_rows=2)), "climb")
+    climb = materialise(smooth.filter(F.col("raw_phase") == "CLIMB").drop("raw_phase"), "climb")
     forced = _forces(climb.withColumn("label", F.lit("climb")), flights, regimes, fuel, even)
-    return unsliced(apply_steps(forced, even, air_distance_step(even), elapsed_step(even), mass_loss_step(even)))
+    out = apply_steps(
+        forced, even, air_distance_step(even), elapsed_step(even), mass_loss_step(even), position_step(even, "_place", "_size")
+    )
+    return unsliced(out.filter(F.col("_size") >= 2).drop("_place", "_size"))
 
 
 def flight_feature_flow(enriched: DataFrame, s: Series) -> DataFrame:
