@@ -58,12 +58,13 @@ def fuel_flow(f0: Column, f1: Column, f2: Column, f3: Column, force: Column, alt
 
 def smooth_up(x: Column, low: float, high: float) -> Column:
     """0 below ``low``, 1 above ``high``, two parabolas in between."""
-    width = high - low
+    width, middle = high - low, (low + high) / 2
+    rising, settling = (x - low) / width, (x - high) / width
     return (
         F.when(x <= low, 0.0)
         .when(x >= high, 1.0)
-        .when(x <= (low + high) / 2, 2.0 * F.pow((x - low) / width, 2.0))
-        .when(x.isNotNull(), 1.0 - 2.0 * F.pow((x - high) / width, 2.0))
+        .when(x <= middle, rising * rising * 2.0)
+        .when(x.isNotNull(), 1.0 - settling * settling * 2.0)
     )
 
 
@@ -72,4 +73,5 @@ def smooth_down(x: Column, low: float, high: float) -> Column:
 
 
 def bell(x: Column, centre: float, spread: float) -> Column:
-    return F.exp(-F.pow(x - centre, 2.0) / (2.0 * spread * spread))
+    offset = x - centre
+    return F.exp(offset * offset / (-2.0 * spread * spread))

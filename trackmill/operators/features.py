@@ -26,24 +26,23 @@ def _subsets(in_cruise: str) -> dict[str, Column]:
     }
 
 
-def _duration(rows: Column, us: Column) -> Column:
-    """Whole seconds between the first and last of ``rows``, 0 without any."""
-    span = F.max(F.when(rows, us)) - F.min(F.when(rows, us))
-    return F.coalesce(F.call_function("div", span, F.lit(MICROS)), F.lit(0).cast("bigint"))
+def _durations(us: dict[str, Column]) -> dict[str, Column]:
+    """Whole seconds spent in each subset (0 if empty), and from the last climb to the first descent row.
 
+    ``us`` holds the instant on the rows of each subset and NULL elsewhere.
+    """
+    def whole(span: Column) -> Column:
+        return F.call_function("div", span, F.lit(MICROS))
 
-def duration_features(s: Series, in_cruise: str = "in_cruise") -> dict[str, Column]:
-    """Seconds spent in each subset, and from the last climb to the first descent row."""
-    us = micros(s.time)
-    subsets = _subsets(in_cruise)
-    out = {f"dur_{n}": _duration(rows, us) for n, rows in subsets.items()}
-    gap = F.min(F.when(subsets["descent"], us)) - F.max(F.when(subsets["climb"], us))
-    out["dur_cruise2"] = F.coalesce(F.call_function("div", gap, F.lit(MICROS)), out["dur_cruise"])
+    nothing = F.lit(0).cast("bigint")
+    out = {f"dur_{n}": F.coalesce(whole(F.max(t) - F.min(t)), nothing) for n, t in us.items()}
+    out["dur_cruise2"] = F.coalesce(whole(F.min(us["descent"]) - F.max(us["climb"])), out["dur_cruise"])
     return out
 
 
 def durations(df: DataFrame, s: Series, in_cruise: str = "in_cruise") -> DataFrame:
-    return df.groupBy(s.key).agg(*[c.alias(n) for n, c in duration_features(s, in_cruise).items()])
+    us = {n: F.when(rows, micros(s.time)) for n, rows in _subsets(in_cruise).items()}
+    return df.groupBy(s.key).agg(*[c.alias(n) for n, c in _durations(us).items()])
 
 
 def flight_features(df: DataFrame, s: Series, in_cruise: str = "in_cruise",
@@ -54,49 +53,52 @@ def flight_features(df: DataFrame, s: Series, in_cruise: str = "in_cruise",
     with the exact medians on the same key, which needs no further exchange of the result.
     """
     subsets = _subsets(in_cruise)
+    picked: dict[str, Column] = {}
 
-    def mean(n: str, col: str) -> Column:
-        return F.avg(F.when(subsets[n], F.col(col)))
-
-    def top(n: str, col: str) -> Column:
-        return F.max(F.when(subsets[n], F.col(col)))
-
-    def bottom(n: str, col: str) -> Column:
-        return F.min(F.when(subsets[n], F.col(col)))
+    def pick(n: str, col: str, test: Column | None = None) -> str:
+        """A column holding ``col`` on the rows of subset ``n`` (and ``test``), projected once for all its uses."""
+        alias = f"_{n}_{col}" + ("" if test is None else "_signed")
+        rows = F.col(f"_in_{n}") if test is None else F.col(f"_in_{n}") & test
+        picked[alias] = F.when(rows, F.col(col))
+        return alias
 
     acc = F.col("vertical_acc")
     out: dict[str, Column] = {
-        "mean_cruise_altitude": mean("cruise", "altitude"),
-        "max_cruise_altitude": top("cruise", "altitude"),
+        "mean_cruise_altitude": F.avg(pick("cruise", "altitude")),
+        "max_cruise_altitude": F.max(pick("cruise", "altitude")),
         "distance": F.max("airdist"),
-        "mean_latitude": mean("cruise", "latitude"),
-        "mean_longitude": mean("cruise", "longitude"),
-        "mean_cruise_temperature": mean("cruise", "temperature"),
-        "mean_cruise_humidity": mean("cruise", "specific_humidity"),
-        "mean_rod": mean("descent", "vertical_rate"),
-        "min_rod": bottom("descent", "vertical_rate"),
-        "mean_neg_descent_vertacc": F.avg(F.when(subsets["descent"] & (acc < 0), acc)),
-        "min_descent_vertacc": bottom("descent", "vertical_acc"),
+        "mean_latitude": F.avg(pick("cruise", "latitude")),
+        "mean_longitude": F.avg(pick("cruise", "longitude")),
+        "mean_cruise_temperature": F.avg(pick("cruise", "temperature")),
+        "mean_cruise_humidity": F.avg(pick("cruise", "specific_humidity")),
+        "mean_rod": F.avg(pick("descent", "vertical_rate")),
+        "min_rod": F.min(pick("descent", "vertical_rate")),
+        "mean_neg_descent_vertacc": F.avg(pick("descent", "vertical_acc", acc < 0)),
+        "min_descent_vertacc": F.min(pick("descent", "vertical_acc")),
         "fuel_spent": F.max("mass_loss"),
     }
     for n in subsets:
-        out[f"mean_{n}_tas"] = mean(n, "tas")
-        out[f"max_{n}_tas"] = top(n, "tas")
+        out[f"mean_{n}_tas"] = F.avg(pick(n, "tas"))
+        out[f"max_{n}_tas"] = F.max(pick(n, "tas"))
         for col in ("thrust", "fuelflow", "mass_loss"):
-            out[f"mean_{n}_{col}"] = mean(n, col)
+            out[f"mean_{n}_{col}"] = F.avg(pick(n, col))
     for n, short in (("initclimb", "initroc"), ("climb", "roc")):
-        out[f"mean_{short}"] = mean(n, "vertical_rate")
-        out[f"max_{short}"] = top(n, "vertical_rate")
-        out[f"mean_pos_{n}_vertacc"] = F.avg(F.when(subsets[n] & (acc > 0), acc))
-        out[f"max_{n}_vertacc"] = top(n, "vertical_acc")
-    out |= duration_features(s, in_cruise)
-    rate = F.col("vertical_rate")
+        out[f"mean_{short}"] = F.avg(pick(n, "vertical_rate"))
+        out[f"max_{short}"] = F.max(pick(n, "vertical_rate"))
+        out[f"mean_pos_{n}_vertacc"] = F.avg(pick(n, "vertical_acc", acc > 0))
+        out[f"max_{n}_vertacc"] = F.max(pick(n, "vertical_acc"))
+    for n in subsets:
+        picked[f"_{n}_us"] = F.when(F.col(f"_in_{n}"), micros(s.time))
+    out |= _durations({n: F.col(f"_{n}_us") for n in subsets})
     medians = exact_percentiles(df, [s.key], {
-        "median_initroc": (F.when(subsets["initclimb"], rate), 0.5),
-        "median_roc": (F.when(subsets["climb"], rate), 0.5),
-        "median_rod": (F.when(subsets["descent"], rate), 0.5),
+        "median_initroc": (F.when(subsets["initclimb"], F.col("vertical_rate")), 0.5),
+        "median_roc": (F.when(subsets["climb"], F.col("vertical_rate")), 0.5),
+        "median_rod": (F.when(subsets["descent"], F.col("vertical_rate")), 0.5),
     }, group_rows)
-    return df.groupBy(s.key).agg(*[c.alias(n) for n, c in out.items()]).join(medians, s.key, "left")
+    # Subsets, picked values and aggregates in steps of their own keep the generated code small.
+    flagged = df.withColumns({f"_in_{n}": rows for n, rows in subsets.items()})
+    values = flagged.select(s.key, "airdist", "mass_loss", *[c.alias(n) for n, c in picked.items()])
+    return values.groupBy(s.key).agg(*[c.alias(n) for n, c in out.items()]).join(medians, s.key, "left")
 
 
 #: Altitude band edges (ft).  Fixed values.
