@@ -405,6 +405,18 @@ block("gappy", """
          CASE WHEN flight_id % 11 <> 0 THEN flown_distance / flight_duration END AS mean_speed FROM flights""")
 
 
+@query("pipe_train_select", "SELECT flight_id, true AS predicted FROM flights WHERE tow IS NULL")
+def pipe_train_select(spark, sf):
+    """Train an ensemble, publish it, read it back, and select a submission from it."""
+    df = model_table(spark, sf)
+    plan = sampling.feature_subsets([["flown_distance"]], [*MODEL_FEATURES.numeric, *MODEL_FEATURES.categorical], draws=2, extra=2)
+    predictions, submissions, _ = ml.train_ensemble(df, MODEL_FEATURES, plan, ml.Boosting(iterations=2, depth=3))
+    folder = fresh_path(spark, "run")
+    flows.publish(predictions, submissions, folder)
+    chosen = flows.select_submission(spark, folder, df.filter(F.col("tow").isNull()).select("flight_id"))
+    return chosen.select("flight_id", F.col("tow").isNotNull().alias("predicted"))
+
+
 @query("impute_by_model")
 def impute_by_model(spark, sf):
     return rounded(ml.impute_by_model(gappy(spark, sf), iterations=5, depth=4, k=3), 2)

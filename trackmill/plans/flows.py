@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackmill.functions.encodings import pair_key
@@ -26,6 +26,7 @@ from trackmill.operators.timeseries import (
     with_rate,
 )
 from trackmill.session import materialise
+from trackmill.sources import tables
 
 BANDS = enrich.BANDS
 
@@ -190,3 +191,19 @@ def rmse_flow(preds: DataFrame, scored: DataFrame, key: str = "flight_id") -> Da
         .join(on_test.withColumnRenamed("tow", "tow_test"), key)
         .join(mixed, key)
     )
+
+
+def publish(predictions: DataFrame, submissions: DataFrame, folder: str, name: str = "model", features: int = 0) -> None:
+    """Write what a training run produced: scored predictions per model and whole-number submissions."""
+    tables.write_predictions(predictions, f"{folder}/predictions", name, features)
+    whole = submissions.select("flight_id", "model_id", "aircraft_type", F.col("tow").cast("bigint").alias("tow_pred"))
+    tables.write_csv(whole, f"{folder}/submissions")
+
+
+def select_submission(spark: SparkSession, folder: str, ids: DataFrame) -> DataFrame:
+    """From published runs to one submission: best model per type, blended, in the order of the official ids."""
+    scored = tables.read_predictions(spark, f"{folder}/predictions")
+    schema = "flight_id bigint, model_id int, aircraft_type string, tow_pred double"
+    unlabelled = spark.read.option("header", True).schema(schema).csv(f"{folder}/submissions")
+    chosen = rmse_flow(unlabelled, scored.filter(F.col("tow_pred").isNotNull()))
+    return selection.in_submission_order(ids, chosen)
