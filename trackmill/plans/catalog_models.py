@@ -601,18 +601,21 @@ block("assembled", f"""
 block("features", feature_sql("trimmed").replace("round(", "(").replace(", 4) + 0e0", ")").replace(", 7) + 0e0", ")"))
 
 
-@query("pipe_assemble", rounded_sql("SELECT * FROM assembled", """great_circle_distance_km climb_range drag_term1 ceiling_diff
-  cruise_diff mach_diff climb_range_normalized flown_distance_normalized max_flown_dist min_climb_range""", 7))
+_SUMMED = ("great_circle_distance_km", "drag_term1", "ceiling_diff", "cruise_diff", "mach_diff")
+
+
+@query("pipe_assemble", rounded_sql("SELECT * FROM assembled", " ".join(_SUMMED), 7))
 def pipe_assemble(spark, sf):
     out = flows.assemble(
         views.flights(spark, sf), flows.flight_feature_flow(blocks.enriched(spark, sf), FX),
         flows.climb_feature_flow(blocks.stored_tracks(spark, sf), views.flights(spark, sf).select("flight_id"), FX),
         views.types(spark), views.airports(spark, sf), max_type_nulls=1 << 40, impute=None, drop_sparse=False,
     )
-    return rounded(out.select(
+    chosen = out.select(
         "flight_id", "great_circle_distance_km", "m_tow", "min_tow_ch", "max_tow_ch", "climb_range", "drag_term1", "ceiling_diff",
         "cruise_diff", "mach_diff", "climb_range_normalized", "flown_distance_normalized", "max_flown_dist", "min_climb_range",
-    ), 7)
+    )
+    return chosen.withColumns({c: F.round(c, 7) + F.lit(0.0) for c in _SUMMED})
 
 
 @query("pipe_assemble_imputed")
