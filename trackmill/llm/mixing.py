@@ -77,3 +77,19 @@ def mix(docs: DataFrame, weights: dict[str, float], rest_weight: float = 1.0, si
         return out
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return out.repartitionByRange(parts, "shuffle_key").sortWithinPartitions("shuffle_key")
+
+
+def oracle(weights: dict[str, float], rest_weight: float, seed: str = "mix", steps: int = 400) -> str:
+    """SQL for ``mix`` over ``documents`` with known ids and rates well below ``steps``."""
+    named = ", ".join(f"('{s}', {w!r}::DOUBLE)" for s, w in weights.items())
+    return f"""
+    WITH w(s, weight) AS (VALUES {named}),
+    d AS (SELECT documents.*, w.s, CAST('0x' || substr(md5('{seed}:' || CAST(doc_id AS VARCHAR)), 1, 12) AS BIGINT) AS h FROM documents LEFT JOIN w ON source = w.s),
+    c AS (SELECT s, count(*) AS n FROM d GROUP BY s),
+    r AS (SELECT c.s, n, coalesce(weight, {rest_weight!r}::DOUBLE) AS weight FROM c LEFT JOIN w ON c.s = w.s),
+    t AS (SELECT s, (SELECT sum(n) FROM r) * weight / (SELECT sum(weight) FROM r) / n AS rate FROM r),
+    f AS (SELECT s, k, sum(exp(-rate + k * ln(rate) - lgamma(k + 1))) OVER (PARTITION BY s ORDER BY k) AS below
+          FROM t, (SELECT CAST(range AS INTEGER) AS k FROM range({steps})) AS g)
+    SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, f.k AS copy,
+           CAST('0x' || substr(md5('{seed}/order:' || CAST(f.k AS VARCHAR) || ':' || CAST(d.doc_id AS VARCHAR)), 1, 15) AS BIGINT) AS shuffle_key
+    FROM d JOIN f ON d.s IS NOT DISTINCT FROM f.s AND f.below < (d.h + 0.5::DOUBLE) / 281474976710656::DOUBLE"""

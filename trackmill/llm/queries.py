@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackmill.llm import mixing, near_dedup, packing, quality_model, quality_rules
+from trackmill.llm import fingerprints, mixing, near_dedup, packing, perspectives, quality_model, quality_rules, records, toxicity, url_filter
 from trackmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,3 +53,33 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.with_crc(packing.pack(table(spark, sf_dir, "documents"), tokenizer_file()))
+
+
+@query("op2_binary_records")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.with_crc(records.round_trip(table(spark, sf_dir, "documents"), tokenizer_file()))
+
+
+@query("op9_url_filter", url_filter.oracle())
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages")).drop("strict_terms", "soft_terms")
+
+
+@query("op3_mixing", mixing.oracle(WEIGHTS, REST_WEIGHT))
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), WEIGHTS, REST_WEIGHT)
+
+
+@query("op10_multiset_fingerprints", fingerprints.oracle())
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op4_toxicity_chain")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op5_perspective_rotation", perspectives.oracle())
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives.rotate(table(spark, sf_dir, "conversations"))
