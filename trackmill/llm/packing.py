@@ -30,6 +30,8 @@ from trackmill.session import materialise
 BUCKETS = 256
 DIMENSIONS = 3
 BITS = 10
+#: Rows whose ids a task holds before it passes them on.
+SLICE = 1000
 
 
 def directions(vocabulary: int, seed: int = 7) -> np.ndarray:
@@ -83,12 +85,15 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id"
         enc = encoder(tokenizer)
         table = directions(1 << 16 if enc.dtype.itemsize == 2 else enc.tokenizer.get_vocab_size() + 1)
         end = np.array([end_id], dtype=enc.dtype).tobytes()
-        for batch in batches:
-            packed = [enc.encode(t or "") for t in batch.pop("_llm_text")]
-            batch["_llm_n"] = [len(p) // enc.dtype.itemsize + 1 for p in packed]
-            batch["_llm_key"] = hilbert_key(np.array([curve_cell(enc.ids(p), table) for p in packed]).reshape(-1, DIMENSIONS))
-            batch["_llm_ids"] = [p + end for p in packed]
-            yield batch
+        for whole in batches:
+            for at in range(0, len(whole), SLICE):
+                batch = whole.iloc[at:at + SLICE].copy()
+                packed = [enc.encode(t or "") for t in batch.pop("_llm_text")]
+                batch["_llm_n"] = [len(p) // enc.dtype.itemsize + 1 for p in packed]
+                cells = [curve_cell(enc.ids(p), table) for p in packed]
+                batch["_llm_key"] = hilbert_key(np.array(cells, dtype=np.int64).reshape(-1, DIMENSIONS))
+                batch["_llm_ids"] = [p + end for p in packed]
+                yield batch
 
     kind = docs.schema[id_col].dataType.simpleString()
     picked = docs.select(F.col(f"`{id_col}`").alias("_llm_id"), F.col(f"`{text_col}`").alias("_llm_text"))

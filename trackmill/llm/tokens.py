@@ -11,6 +11,8 @@ from __future__ import annotations
 import json
 import os
 import string
+import sys
+from array import array
 
 import numpy as np
 
@@ -49,6 +51,8 @@ class Encoder:
         pre = kind["pre_tokenizer"] or {}
         self.cuts = (kind["normalizer"] is None and kind["model"]["type"] == "BPE" and pre.get("type") == "ByteLevel"
                      and not pre.get("add_prefix_space") and pre.get("use_regex", True))
+        self.model = self.tokenizer.model
+        self.code = {2: "H", 4: "I"}[self.dtype.itemsize] if sys.byteorder == "little" else None
         self.letters = _Letters(ByteLevel(add_prefix_space=False, use_regex=False))
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
@@ -64,7 +68,12 @@ class Encoder:
         """One pre-token (``letters``: of letters, with or without a blank before them), or a short text."""
         x = self.parts.get(text)
         if x is None:
-            x = self._pack([t.id for t in self.tokenizer.model.tokenize(text.translate(self.letters))]) if letters else self._whole(text)
+            if letters:
+                # An ASCII letter stands for itself.
+                shown = self.letters[32] + text[1:] if text[0] == " " and text.isascii() else text.translate(self.letters)
+                x = array(self.code, [t.id for t in self.model.tokenize(shown)]).tobytes() if self.code else self._pack([t.id for t in self.model.tokenize(shown)])
+            else:
+                x = self._whole(text)
             if len(self.parts) < REMEMBERED:
                 self.parts[text] = x
             else:
@@ -90,14 +99,13 @@ class Encoder:
             return self._whole(text)
         got = list(map(self.words.get, rest))
         if None in got:
-            for i, x in enumerate(got):
-                if x is None:
-                    word = rest[i]
-                    if not word or word[0].isspace() or word[-1].isspace():
-                        return self._whole(text)
-                    got[i] = x = self._word(f" {word}")
-                    if len(self.words) < REMEMBERED:
-                        self.words[word] = x
+            for i in [k for k, x in enumerate(got) if x is None]:
+                word = rest[i]
+                if not word or word[0].isspace() or word[-1].isspace():
+                    return self._whole(text)
+                got[i] = x = self._word(f" {word}")
+                if len(self.words) < REMEMBERED:
+                    self.words[word] = x
             if self.unremembered > 40 * REMEMBERED:  # the texts may have become others
                 self.words.clear()
                 self.parts.clear()
