@@ -9,7 +9,7 @@ give candidates; their similarity is estimated from the registers, and what may
 No bucket of a band is expanded into all of its pairs.  Texts with equal sets are first one node.  Then a band bucket links each
 member to one leader; after confirmed links have been joined to components, only buckets that still hold several components are gone
 through again: members outside a bucket's largest component are compared by registers with all others, in blocks of bounded size, and
-only pairs that may reach the threshold leave a task.  Each pair of a bucket is so either inside one component or compared.
+only confirmed links that join components leave a task.  Each pair of a bucket is so either inside one component or compared.
 
 Scale: the written sketch table has some 0.6 kB a text; bands shuffle 16 bytes each; full texts move once, and only those in a
 bucket of two or more.  Joins on a hot bucket, leader or copy are plain sort-merge joins, which run-time skew handling may
@@ -37,8 +37,9 @@ BUCKETS = 256
 MANTISSA = 10
 ROWS = 5
 BANDS = 40
-#: Members of a band bucket, and strays, that one block compares.
+#: Members of a band bucket, and strays, that one block compares, and shingles that they may have together.
 BLOCK = 512
+BLOCK_SHINGLES = 1 << 20
 #: Hashes that a confirming task remembers of texts it may meet again: 32 MB.
 REMEMBERED = 4_000_000
 _U = np.uint64
@@ -171,31 +172,44 @@ def _probable(threshold: float, slack: float):
     return keep
 
 
-def _across(threshold: float, slack: float):
-    """Of rows in order of (band, i, j): pairs of a stray and another member, of different roots, that may reach the threshold.
+def _across(percent: int, slack: float):
+    """Of rows in order of (band, i, j): links between a stray and another member that join different components.
 
-    A pair that shares several bands is looked at in the first of them only.
+    A pair that shares several bands is looked at in the first of them only, and not at all where links of the same block have already joined its
+    components.  What the registers leave possible is confirmed on the full sets.
     """
+    threshold = percent / 100
     least = threshold - slack * np.sqrt(threshold * (1 - threshold) / BUCKETS)
 
-    def pairs(block: pd.DataFrame) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        node, root, n = (block[c].to_numpy() for c in ("_llm_node", "_llm_root", "n_shingles"))
+    def links(block: pd.DataFrame) -> list[tuple[int, int]]:
+        node, n = block["_llm_node"].to_numpy(), block["n_shingles"].to_numpy()
+        names, root = np.unique(block["_llm_root"].to_numpy(), return_inverse=True)
+        joined = np.arange(len(names))  # of each component, the one it has been joined to
         odd, is_member = block["_llm_stray"].to_numpy(), block["_llm_member"].to_numpy()
         regs = np.frombuffer(b"".join(block["_llm_regs"]), dtype="<u2").reshape(len(block), BUCKETS)
+        texts, sets = block["_llm_text"].to_numpy(), {}
         members, k = np.flatnonzero(is_member), int(block["_llm_k"].iloc[0])
-        left, right = [], []
+        found = []
         for x in np.flatnonzero(~is_member):
-            m = members[(root[members] != root[x]) & (~odd[members] | (node[members] > node[x]))]
+            m = members[(joined[root[members]] != joined[root[x]]) & (~odd[members] | (node[members] > node[x]))]
             m = m[np.minimum(n[m], n[x]) >= threshold * np.maximum(n[m], n[x]) - 1e-9]
             if not len(m):
                 continue
             same = regs[m] == regs[x]
             first = same[:, :ROWS * BANDS].reshape(len(m), ROWS, BANDS).all(axis=1).argmax(axis=1) == k
             hits, c = same.mean(axis=1), chance_hits(n[m], np.full(len(m), n[x]))
-            m = m[first & ((hits - c) / (1 - c) >= least)]
-            left.append(np.minimum(node[m], node[x]))
-            right.append(np.maximum(node[m], node[x]))
-        return left, right
+            near = (hits - c) / (1 - c)
+            able = first & (near >= least)
+            for y in m[able][np.argsort(-near[able], kind="stable")]:
+                if joined[root[x]] == joined[root[y]]:
+                    continue
+                for i in (x, y):
+                    if i not in sets:
+                        sets[i] = shingle_set(texts[i])
+                if linked(sets[x], sets[y], percent):
+                    found.append((min(node[x], node[y]), max(node[x], node[y])))
+                    joined[joined == joined[root[x]]] = joined[root[y]]
+        return found
 
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -211,16 +225,22 @@ def _across(threshold: float, slack: float):
             yield collected(held, [0, len(held)])
 
     def collected(rows: pd.DataFrame, starts: list[int]) -> pd.DataFrame:
-        left, right = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
-        for a, b in zip(starts, starts[1:]):
-            x, y = pairs(rows.iloc[a:b])
-            left += x
-            right += y
-        return pd.DataFrame({"_llm_a": np.concatenate(left), "_llm_b": np.concatenate(right)})
+        found = [pair for a, b in zip(starts, starts[1:]) for pair in links(rows.iloc[a:b])]
+        return pd.DataFrame(found, columns=["_llm_a", "_llm_b"], dtype="int64")
 
     return keep
 
 
+def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether 100 * intersection >= percent * union, of two sorted sets with something in common."""
+    small, large = (x, y) if len(x) < len(y) else (y, x)
+    if not len(small):
+        return False
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    common = int((large[at] == small).sum())
+    return common > 0 and 100 * common >= percent * (len(x) + len(y) - common)
+
+
 def _confirmed(percent: int):
     """Pairs of texts with 100 * intersection >= percent * union."""
 
@@ -239,13 +259,7 @@ def _confirmed(percent: int):
             return known[text]
 
         for batch in batches:
-            good = []
-            for a, b in zip(batch["_llm_ta"], batch["_llm_tb"]):
-                x, y = of(a), of(b)
-                small, large = (x, y) if len(x) < len(y) else (y, x)
-                at = np.minimum(np.searchsorted(large, small), max(0, len(large) - 1))
-                common = int((large[at] == small).sum()) if len(small) else 0
-                good.append(100 * common >= percent * (len(x) + len(y) - common) and common > 0)
+            good = [linked(of(a), of(b), percent) for a, b in zip(batch["_llm_ta"], batch["_llm_tb"])]
             yield batch.loc[good, ["_llm_a", "_llm_b"]]
 
     return keep
@@ -322,12 +336,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = materialise(confirmed(tried).union(by_id), "confirmed")
     root = components(links, "_llm_a", "_llm_b")
     # Buckets that still hold several components: pairs across them.
+    size_of = nodes.groupBy("_llm_node").agg(F.max("n_shingles").alias("_llm_size"))
     tagged = shared.join(root, "_llm_node", "left").select("_llm_band", "_llm_k", "_llm_node", F.coalesce("_llm_root", "_llm_node").alias("_llm_root"))
-    per_root = tagged.groupBy("_llm_band", "_llm_root").count()
-    split = (per_root.groupBy("_llm_band").agg(F.sum("count").alias("_llm_g"), F.max(F.struct("count", "_llm_root")).alias("_llm_m"), F.count("*").alias("_llm_c"))
-             .where("_llm_c > 1").select("_llm_band", F.col("_llm_m._llm_root").alias("_llm_main"),
-                                         F.ceil(F.col("_llm_g") / BLOCK).cast("int").alias("_llm_nm"),
-                                         F.ceil((F.col("_llm_g") - F.col("_llm_m.count")) / BLOCK).cast("int").alias("_llm_ns")))
+    per_root = tagged.join(size_of, "_llm_node").groupBy("_llm_band", "_llm_root").agg(F.count("*").alias("count"), F.sum("_llm_size").alias("_llm_size"))
+    split = (per_root.groupBy("_llm_band")
+             .agg(F.sum("count").alias("_llm_g"), F.max(F.struct("count", "_llm_root")).alias("_llm_m"), F.count("*").alias("_llm_c"), F.sum("_llm_size").alias("_llm_size"))
+             .where("_llm_c > 1"))
+    many = F.col("_llm_size") / BLOCK_SHINGLES
+    split = split.select("_llm_band", F.col("_llm_m._llm_root").alias("_llm_main"),
+                         F.ceil(F.greatest(F.col("_llm_g") / BLOCK, many)).cast("int").alias("_llm_nm"),
+                         F.ceil(F.greatest((F.col("_llm_g") - F.col("_llm_m.count")) / BLOCK, many)).cast("int").alias("_llm_ns"))
     left = materialise(tagged.join(split, "_llm_band").withColumn("_llm_stray", F.col("_llm_root") != F.col("_llm_main")), "split-buckets")
     place = F.xxhash64("_llm_node")
     told = ["_llm_band", "_llm_k", "_llm_node", "_llm_root", "_llm_stray"]
@@ -336,10 +354,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stray = left.where("_llm_stray").select(*told, F.lit(False).alias("_llm_member"), F.explode(F.sequence(F.lit(0), F.col("_llm_nm") - 1)).alias("_llm_i"),
                                             F.pmod(place, "_llm_ns").cast("int").alias("_llm_j"))
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    blocks = (member.union(stray).join(nodes, "_llm_node").repartition(parts, "_llm_band", "_llm_i", "_llm_j")
+    full = texts.select(F.col("_llm_id").alias("_llm_node"), "_llm_text")
+    blocks = (member.union(stray).join(nodes, "_llm_node").join(full, "_llm_node").repartition(parts, "_llm_band", "_llm_i", "_llm_j")
               .sortWithinPartitions("_llm_band", "_llm_i", "_llm_j"))
-    across = blocks.mapInPandas(_across(percent / 100, slack), "_llm_a bigint, _llm_b bigint").distinct()
-    more = materialise(confirmed(across.join(tried, ["_llm_a", "_llm_b"], "left_anti")), "confirmed")
+    more = materialise(blocks.mapInPandas(_across(percent, slack), "_llm_a bigint, _llm_b bigint").distinct(), "confirmed")
     if not more.isEmpty():
         root = components(links.union(more), "_llm_a", "_llm_b")
     root = root.select(F.col("_llm_node").alias("_llm_id"), "_llm_root")
