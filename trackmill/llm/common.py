@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trackmill.session import materialise
+
 #: ASCII white space: what separates words everywhere in this package.
 SPACE = r"[\x20\x09-\x0D]"
 
@@ -30,3 +32,17 @@ def any_value_of(values: DataFrame, key: str, value: str) -> DataFrame:
 def held_out(doc_id: Column, folds: int = 5) -> Column:
     """True for the share of ids that no model may learn from (crc32 of the id as text; null id: of the empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds == 0
+
+
+def written(df: DataFrame, label: str, rows: int = 1000) -> DataFrame:
+    """``materialise`` with at most ``rows`` rows in a batch handed to Python, so that whole texts stay few there.
+
+    The setting holds for this one write and is put back.
+    """
+    spark, name = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        return materialise(df, label)
+    finally:
+        spark.conf.set(name, before)

@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trackmill.llm.common import written
 from trackmill.session import materialise
 
 BUCKETS = 256
@@ -293,7 +294,7 @@ def components(links: DataFrame, a: str, b: str, rounds: int = 50) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, slack: float = 4.0) -> DataFrame:
     """One row per row of ``docs``: id, ``n_shingles``, ``component_id`` (smallest linked id) and ``kept`` (the row's id is that)."""
     picked = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("_llm_id"), F.col(f"`{text_col}`").alias("_llm_text"))
-    rows = materialise(
+    rows = written(
         picked.mapInPandas(_sketches, "_llm_id bigint, n_shingles bigint, _llm_set string, _llm_regs binary"), "sketches")
     known = rows.where("_llm_id IS NOT NULL AND _llm_set IS NOT NULL")
     # Texts with equal sets are one node, named by their smallest id.
@@ -333,7 +334,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets_of = known.join(node_of, "_llm_set").select("_llm_id", "_llm_node")
     by_id = sets_of.where("_llm_id <> _llm_node").select(F.col("_llm_id").alias("_llm_a"), F.col("_llm_node").alias("_llm_b"))
     tried = materialise(probable(pairs), "tried")
-    links = materialise(confirmed(tried).union(by_id), "confirmed")
+    links = written(confirmed(tried).union(by_id), "confirmed")
     root = components(links, "_llm_a", "_llm_b")
     # Buckets that still hold several components: pairs across them.
     size_of = nodes.groupBy("_llm_node").agg(F.max("n_shingles").alias("_llm_size"))
@@ -357,7 +358,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     full = texts.select(F.col("_llm_id").alias("_llm_node"), "_llm_text")
     blocks = (member.union(stray).join(nodes, "_llm_node").join(full, "_llm_node").repartition(parts, "_llm_band", "_llm_i", "_llm_j")
               .sortWithinPartitions("_llm_band", "_llm_i", "_llm_j"))
-    more = materialise(blocks.mapInPandas(_across(percent, slack), "_llm_a bigint, _llm_b bigint").distinct(), "confirmed")
+    more = written(blocks.mapInPandas(_across(percent, slack), "_llm_a bigint, _llm_b bigint").distinct(), "confirmed")
     if not more.isEmpty():
         root = components(links.union(more), "_llm_a", "_llm_b")
     root = root.select(F.col("_llm_node").alias("_llm_id"), "_llm_root")

@@ -24,6 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from trackmill.llm.common import written
 from trackmill.llm.tokens import encoder
 from trackmill.session import materialise
 
@@ -98,7 +99,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id"
     kind = docs.schema[id_col].dataType.simpleString()
     picked = docs.select(F.col(f"`{id_col}`").alias("_llm_id"), F.col(f"`{text_col}`").alias("_llm_text"))
     done = picked.mapInPandas(encode, f"_llm_id {kind}, _llm_n bigint, _llm_key bigint, _llm_ids binary")
-    return materialise(done.withColumn("_llm_row", F.monotonically_increasing_id()), "encoded")
+    return written(done.withColumn("_llm_row", F.monotonically_increasing_id()), "encoded")
 
 
 def line_starts(rows: DataFrame, *order: str) -> DataFrame:

@@ -26,8 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackmill.llm.common import any_value_of, held_out
-from trackmill.session import materialise
+from trackmill.llm.common import any_value_of, held_out, written
 
 #: Byte classes whose share of a text is a statistic.
 _CLASSES = (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b"#*$%&<>", b"|", b"!?", b".,;:", b"'\"()[]{}-_/\\@=+~^`", bytes(range(128, 256)))
@@ -128,7 +127,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     Only labelled rows for which ``may_learn`` holds are learnt from (default: those that ``held_out`` does not keep back).
     """
-    vectors = materialise(text_vectors(docs, id_col, text_col), "text-vectors")
+    vectors = written(text_vectors(docs, id_col, text_col), "text-vectors")
     learn = ~held_out(F.col(f"`{id_col}`")) if may_learn is None else may_learn
     known = any_value_of(labels, id_col, label_col).withColumnRenamed(label_col, "_llm_label")
     model = fit(vectors.where(learn).join(known, id_col))

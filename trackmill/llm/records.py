@@ -33,9 +33,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from trackmill.llm.common import written
 from trackmill.llm.packing import wide_crc32
 from trackmill.llm.tokens import encoder
-from trackmill.session import fresh_path, materialise
+from trackmill.session import fresh_path
 
 _MASK_DELTA = 0xA282EAD8
 _HEAD = "<qB"
@@ -128,7 +129,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2, id_col:
     picked = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("_llm_id"), F.col(f"`{text_col}`").alias("_llm_text"))
     by = [F.col("_llm_id").asc_nulls_first(), F.col("_llm_text").asc_nulls_first()]
     ordered = picked.repartitionByRange(parts, by[0]).sortWithinPartitions(*by)
-    return materialise(ordered.mapInPandas(save, SHARDS), "shards")
+    return written(ordered.mapInPandas(save, SHARDS), "shards")
 
 
 def read(spark: SparkSession, shards: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackmill.llm.common import any_value_of, held_out
+from trackmill.llm.common import any_value_of, held_out, written
 from trackmill.session import materialise
 
 HASHED = 1 << 18
@@ -224,11 +224,11 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     parts = learn.select("_llm_text", *names).mapInPandas(_counts(names), schema)
     counts = parts.groupBy("_llm_f").agg(F.sum("_llm_n").alias("_llm_n"), *[F.sum(n).alias(n) for n in names])
     whole = learn.agg(F.lit(-1).cast("bigint").alias("_llm_f"), F.count("*").alias("_llm_n"), *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
-    counts = materialise(counts.union(whole), "feature-counts")
+    counts = written(counts.union(whole), "feature-counts")
     selected = select_features(counts, names, each)
     kind = docs.schema[id_col].dataType.simpleString()
     picked = docs.select(F.col(f"`{id_col}`").alias("_llm_id"), F.col(f"`{text_col}`").alias("_llm_text"))
-    hits = materialise(picked.mapInPandas(_hits(selected), f"_llm_id {kind}, _llm_hits array<int>"), "hits")
+    hits = written(picked.mapInPandas(_hits(selected), f"_llm_id {kind}, _llm_hits array<int>"), "hits")
     few = (learn.select("_llm_id", *names).join(hits, "_llm_id").withColumn("_llm_order", F.xxhash64("_llm_id"))
            .orderBy("_llm_order", "_llm_id").limit(sample).toPandas())
     rows = [np.asarray(h, dtype=np.int64) for h in few["_llm_hits"]]
