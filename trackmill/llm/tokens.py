@@ -16,8 +16,8 @@ from array import array
 
 import numpy as np
 
-#: Words, and as many parts of words, remembered by one Python worker: some 120 MB.
-REMEMBERED = 300_000
+#: Words, and as many parts of words, remembered by one Python worker: some 150 MB.
+REMEMBERED = 360_000
 
 _MARKS = string.punctuation
 _encoders: dict[str, Encoder] = {}
