@@ -276,7 +276,16 @@ def impute_by_model(df: DataFrame, cols: Sequence[str] | None = None, k: int = 5
     partners: dict[str, list[str]] = {}
     for row in topk_per_group(corr_matrix(out, usable), k).filter(F.col("a").isin(todo)).orderBy("a", "rank").collect():
         partners.setdefault(row["a"], []).append(row["b"])
+    kinds = dict(out.dtypes)
+
+    def median_filled(frame: DataFrame, c: str) -> DataFrame:
+        middle = exact_percentiles(frame.withColumn("_all", F.lit(0)), ["_all"], {c: (F.col(c), 0.5)}).first()[c]
+        return frame.withColumn(c, F.coalesce(F.col(c), F.lit(middle).cast(kinds[c])))
+
     for done, c in enumerate(todo, 1):
+        if not partners.get(c):  # nothing to predict it from
+            out = median_filled(out, c)
+            continue
         inputs = [f"_in_{p}" for p in partners[c]]
         ready = out.withColumns({f"_in_{p}": F.col(p).cast("double") for p in partners[c]})
         train = ready.filter(F.col(c).isNotNull()).withColumn("_y", F.col(c).cast("double"))
@@ -290,6 +299,9 @@ def impute_by_model(df: DataFrame, cols: Sequence[str] | None = None, k: int = 5
         # A predictor known only where the target is not would have no median: use those known in training.
         have = train.agg(*[F.count(i).alias(i) for i in inputs]).first()
         inputs = [i for i in inputs if have[i]]
+        if not inputs:
+            out = median_filled(out, c)
+            continue
         fitted = Pipeline(stages=[
             Imputer(strategy="median", inputCols=inputs, outputCols=inputs),
             VectorAssembler(inputCols=inputs, outputCol="_x"), model,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackmill.operators.cleaning import dedup_first
@@ -46,22 +46,73 @@ def argmin_model(scores: DataFrame, by: str = "aircraft_type", model: str = "mod
 
 def select_best_model(preds: DataFrame, best: DataFrame, by: str = "aircraft_type", model: str = "model_id",
                       key: str = "flight_id", predicted: str = "tow_pred", name: str = "best_tow_pred") -> DataFrame:
-    """Each flight's prediction by the best model of its type, or by the next model id if that is NULL.
+    """Each flight's prediction by the best model of its type, or by the next model if that is NULL.
 
-    One pass over the predictions: both candidate rows of a flight are picked by comparing ids.
+    The next model is the one that follows in the sorted list of models: ids may have gaps.  One pass over the
+    predictions: both candidate rows of a flight are picked by comparing ids.
     """
     picked = preds.join(best.select(by, "best_model"), by, "left")
-    wanted = F.col("best_model")
     return picked.groupBy(key).agg(
         F.min(by).alias(by),
         F.min("best_model").alias("best_model"),
-        F.coalesce(
-            F.max(F.when(F.col(model) == wanted, F.col(predicted))),
-            F.max(F.when(F.col(model) == wanted + 1, F.col(predicted))),
-        ).alias(name),
+        chosen_prediction(F.col("best_model"), model_list(preds, model), model, predicted).alias(name),
     )
 
 
+def model_list(preds: DataFrame, model: str = "model_id") -> Column:
+    """The sorted model ids.  Models are few by nature; their list is one scalar."""
+    return preds.agg(F.sort_array(F.collect_set(model))).scalar()
+
+
+def chosen_prediction(wanted: Column, models: Column, model: str = "model_id", predicted: str = "tow_pred") -> Column:
+    """Aggregate over a flight's rows: the prediction of the wanted model, else of its successor in ``models``."""
+    # Positions count from one, so the position of a model is the zero-based place of its successor.
+    place = F.nullif(F.array_position(models, wanted), F.lit(0))
+    return F.coalesce(
+        F.max(F.when(F.col(model) == wanted, F.col(predicted))),
+        F.max(F.when(F.col(model) == F.get(models, place.cast("int")), F.col(predicted))),
+    )
+
+
+def select_twice(preds: DataFrame, scored: DataFrame, by: str = "aircraft_type", model: str = "model_id", key: str = "flight_id",
+                 actual: str = "tow", predicted: str = "tow_pred") -> DataFrame:
+    """Best model per type by error over all rows and over test rows: ``(key, tow_all, tow_test)``, in one pass over each input."""
+    error = F.pow(F.col(actual) - F.col(predicted), 2.0)
+    missing = F.col(actual).isNull() | F.col(predicted).isNull()
+    tested = F.col("test") == 1
+    cells = scored.groupBy(by, model).agg(
+        F.when(F.count_if(missing) > 0, UNSCORED).otherwise(F.sqrt(F.avg(error))).alias("_all"),
+        F.when((F.count_if(tested) == 0) | (F.count_if(tested & missing) > 0), UNSCORED)
+        .otherwise(F.sqrt(F.avg(F.when(tested, error)))).alias("_test"),
+    )
+    # A model without rows of a type is unscored, which matters where no model can be scored: the lowest id wins then.
+    first = F.struct(F.lit(UNSCORED).alias("r"), F.get(model_list(scored, model), F.lit(0)).alias("m"))
+    best = cells.groupBy(by).agg(*[
+        F.least(F.min(F.struct(F.col(c).alias("r"), F.col(model).alias("m"))), F.any_value(first))[F.lit("m")].alias(c) for c in ("_all", "_test")
+    ])
+    models = model_list(preds, model)
+    return preds.join(best, by, "left").groupBy(key).agg(
+        chosen_prediction(F.col("_all"), models, model, predicted).alias("tow_all"),
+        chosen_prediction(F.col("_test"), models, model, predicted).alias("tow_test"),
+    )
+
+
+def selection_report(preds: DataFrame, chosen: DataFrame, outputs: Sequence[str], key: str = "flight_id", actual: str = "tow") -> DataFrame:
+    """One row per output column of ``chosen``: error over all and over test flights, and the first submission rule it breaks.
+
+    Flights without a prediction leave the error, and are told by ``status``.
+    """
+    known = preds.groupBy(key).agg(F.max(actual).alias("_actual"), F.max("test").alias("_test"))
+    long = known.join(chosen, key, "left").select("_actual", "_test", F.explode(F.array(*[
+        F.struct(F.lit(o).alias("output"), F.col(o).alias("_got")) for o in outputs
+    ])).alias("_o")).select("_actual", "_test", "_o.*")
+    error = F.pow(F.col("_actual") - F.col("_got"), 2.0)
+    return long.groupBy("output").agg(
+        F.sqrt(F.avg(error)).alias("rmse_all"), F.sqrt(F.avg(F.when(F.col("_test") == 1, error))).alias("rmse_test"),
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_got").isNull()).alias("nulls"),
+    ).withColumn("status", F.when(F.col("nulls") > 0, "missing predictions").otherwise("ok"))
+
+
 def pivot_predictions(preds: DataFrame, models: Sequence[int], key: str = "flight_id", model: str = "model_id",
                       predicted: str = "tow_pred") -> DataFrame:
     """One column ``tow_<model>`` per model."""

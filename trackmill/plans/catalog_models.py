@@ -73,7 +73,6 @@ def rmse_sql(source: str, test_only: bool) -> str:
 
 block("group_rmse", rmse_sql("preds", True))
 block("known_rmse", rmse_sql("known_preds", False))
-block("known_test_rmse", rmse_sql("known_preds", True))
 
 
 @query("rmse_by_group", "SELECT aircraft_type, model_id, n, round(rmse, 4) AS rmse FROM group_rmse")
@@ -93,7 +92,6 @@ def best_sql(scores: str) -> str:
 
 
 block("best_all", best_sql("known_rmse"))
-block("best_test", best_sql("known_test_rmse"))
 
 
 @query("argmin_model", "SELECT aircraft_type, best_model, round(best_rmse, 4) AS best_rmse FROM best_all")
@@ -105,12 +103,19 @@ def chosen_sql(best: str) -> str:
     return f"""
   SELECT p.flight_id, min(p.aircraft_type) AS aircraft_type, min(b.best_model) AS best_model,
          coalesce(max(CASE WHEN p.model_id = b.best_model THEN p.tow_pred END),
-                  max(CASE WHEN p.model_id = b.best_model + 1 THEN p.tow_pred END)) AS best_tow_pred
-  FROM preds p LEFT JOIN {best} b ON b.aircraft_type = p.aircraft_type GROUP BY p.flight_id"""
+                  max(CASE WHEN p.model_id = o.next_model THEN p.tow_pred END)) AS best_tow_pred
+  FROM preds p LEFT JOIN {best} b ON b.aircraft_type = p.aircraft_type LEFT JOIN model_order o ON o.model_id = b.best_model GROUP BY p.flight_id"""
 
 
+block("model_order", "SELECT model_id, lead(model_id) OVER (ORDER BY model_id) AS next_model FROM (SELECT DISTINCT model_id FROM preds) AS m")
 block("chosen_all", chosen_sql("best_all"))
-block("chosen_test", chosen_sql("best_test"))
+block("best_every", best_sql(f"({rmse_sql('preds', False)}) AS r"))
+block("best_tested", best_sql(f"({rmse_sql('preds', True)}) AS r"))
+block("chosen_every", chosen_sql("best_every"))
+block("chosen_tested", chosen_sql("best_tested"))
+block("blended", """
+  SELECT a.flight_id, a.best_tow_pred AS tow_all, b.best_tow_pred AS tow_test, a.best_tow_pred * 5e-1 + b.best_tow_pred * 5e-1 AS tow
+  FROM chosen_every a JOIN chosen_tested b USING (flight_id)""")
 
 
 @query("select_best_model", "SELECT flight_id, aircraft_type, best_model, round(best_tow_pred, 8) AS best_tow_pred FROM chosen_all")
@@ -160,12 +165,19 @@ def submission_check(spark, sf):
     return selection.submission_check(result, preds.select("flight_id").distinct())
 
 
-@query("pipe_rmse", """
-SELECT a.flight_id, round(a.best_tow_pred, 8) AS tow_all, round(b.best_tow_pred, 8) AS tow_test,
-       round(a.best_tow_pred * 5e-1 + b.best_tow_pred * 5e-1, 8) AS tow
-FROM chosen_all a JOIN chosen_test b USING (flight_id)""")
+@query("pipe_rmse", "SELECT flight_id, round(tow_all, 8) AS tow_all, round(tow_test, 8) AS tow_test, round(tow, 8) AS tow FROM blended")
 def pipe_rmse(spark, sf):
-    return rounded(flows.rmse_flow(views.preds(spark, sf), known_preds(spark, sf)), 8)
+    preds = views.preds(spark, sf)
+    return rounded(flows.rmse_flow(preds, preds), 8)
+
+
+@query("selection_report", "\nUNION ALL ".join(f"""
+SELECT '{o}' AS output, round(sqrt(avg(pow(k.tow - b.{o}, 2))), 4) AS rmse_all, round(sqrt(avg(CASE WHEN k.test = 1 THEN pow(k.tow - b.{o}, 2) END)), 4) AS rmse_test,
+       count(*) AS rows, count(*) - count(b.{o}) AS nulls, CASE WHEN count(b.{o}) < count(*) THEN 'missing predictions' ELSE 'ok' END AS status
+FROM (SELECT flight_id, max(tow) AS tow, max(test) AS test FROM preds GROUP BY flight_id) k LEFT JOIN blended b USING (flight_id)""" for o in ("tow_all", "tow_test", "tow")))
+def selection_report(spark, sf):
+    preds = views.preds(spark, sf)
+    return rounded(selection.selection_report(preds, flows.rmse_flow(preds, preds), ("tow_all", "tow_test", "tow")))
 
 
 # --- sources and sinks --------------------------------------------------------------------------
@@ -250,16 +262,16 @@ def sink_compact(spark, sf):
 
 @query("incremental_ingest", f"SELECT flight_id, seq, {FIRST_DAY_SQL} AS day_number FROM samples")
 def incremental_ingest_query(spark, sf):
-    """Two deliveries of whole flights, three runs: the last one finds nothing new."""
+    """Two deliveries of whole flights, three runs: the second starts over, the last one finds nothing new."""
     root = fresh_path(spark, "ingest")
     source, target, checkpoint = f"{root}/in", f"{root}/out", f"{root}/checkpoint"
     df = materialise(views.samples(spark, sf).select("flight_id", "seq", "event_time", "altitude"), "samples")
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
     out = None
-    for delivery in (0, 1, None):
+    for delivery, overwrite in ((0, False), (1, True), (None, False)):
         if delivery is not None:
             df.filter(F.pmod(F.hash("flight_id"), F.lit(2)) == delivery).write.mode("append").parquet(source)
-        out = incremental_ingest(spark, source, target, checkpoint, schema, lambda batch: batch, FX)
+        out = incremental_ingest(spark, source, target, checkpoint, schema, lambda batch: batch, FX, overwrite=overwrite)
     return out.select("flight_id", "seq", F.unix_date("flight_date").cast("bigint").alias("day_number"))
 
 

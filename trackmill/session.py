@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,8 +30,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf) -> Spar
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for checkpoints and written stages.
 
-    A cluster names it in ``spark.checkpoint.dir``.  Only where that is unset (tests, local
-    mode) is one made up, which is then set on the context as well.
+    A cluster names it in ``spark.checkpoint.dir``.  Only where that is unset, in local mode, it is a folder of the
+    warehouse, which is shared as well; it is then set on the context.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
@@ -44,7 +43,7 @@ def shared_dir(spark: SparkSession) -> str:
     if current is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="trackmill-"))
+        context.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/trackmill-stages")
         current = context.getCheckpointDir()
     return current.rstrip("/")
 
