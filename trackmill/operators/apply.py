@@ -1,41 +1,34 @@
-"""Escape hatch: user functions on one whole entity at a time."""
+"""Escape hatch: user functions on the ordered rows of an entity, slice by slice."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
-from trackmill.operators.slices import Series
-
-#: An entity larger than this is refused rather than loaded into one task.
-ENTITY_ROWS = 5_000_000
+from trackmill.operators.slices import Series, join_entity
 
 
 def apply_per_entity(df: DataFrame, s: Series, functions: Sequence[Callable[[pd.DataFrame], pd.DataFrame | None]],
-                     schema: str | T.StructType, entity_rows: int = ENTITY_ROWS) -> DataFrame:
-    """Run a chain of functions on the ordered rows of each entity; ``None`` drops the entity.
+                     schema: str | T.StructType, about: Mapping[str, Column] | None = None) -> DataFrame:
+    """Run a chain of functions on each (entity, slice); ``None`` drops the slice.
 
-    Only for what the built-in operators cannot express: a function sees the entity as one pandas
-    frame.  The sizes are therefore checked first, and entities beyond ``entity_rows`` raise
-    instead of failing a task half-way.
+    Only for what the built-in operators cannot express.  A function sees the ordered rows of one slice as a pandas frame, never a whole
+    entity, so an entity of any size is spread over tasks.  What it must know of the whole entity is stated in ``about``: aggregates
+    over the entity's rows that become columns of every frame.
     """
-    sizes = df.groupBy(s.key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > entity_rows)
-    too_large = sizes.limit(5).collect()
-    if too_large:
-        raise ValueError(f"entities above {entity_rows} rows: {[r[s.key] for r in too_large]}; split them first")
     order = list(s.order)
     names = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).names
+    whole = df.groupBy(s.key).agg(*[c.alias(n) for n, c in about.items()]) if about else df.select(s.key).distinct()
 
-    def chain(entity: pd.DataFrame) -> pd.DataFrame:
-        out: pd.DataFrame | None = entity.sort_values(order).reset_index(drop=True)
+    def chain(rows: pd.DataFrame) -> pd.DataFrame:
+        out: pd.DataFrame | None = rows.sort_values(order).reset_index(drop=True)
         for function in functions:
             out = function(out)
             if out is None or out.empty:
                 return pd.DataFrame(columns=names)
         return out
 
-    return df.groupBy(s.key).applyInPandas(chain, schema)
+    return join_entity(df, s, whole).groupBy(*s.group).applyInPandas(chain, schema)

@@ -283,16 +283,14 @@ def per_entity_apply(spark, sf):
 
     from trackmill.operators.apply import apply_per_entity
 
-    def normalise(flight: pd.DataFrame) -> pd.DataFrame | None:
-        if flight["altitude"].notna().sum() < 60:
+    def normalise(part: pd.DataFrame) -> pd.DataFrame | None:
+        if part["known"].iloc[0] < 60:
             return None
-        return pd.DataFrame({
-            "flight_id": flight["flight_id"], "seq": flight["seq"],
-            "share": flight["altitude"] / flight["altitude"].max(),
-        })
+        return pd.DataFrame({"flight_id": part["flight_id"], "seq": part["seq"], "share": part["altitude"] / part["top"]})
 
     tracks = blocks.tracks(spark, sf).select("flight_id", "event_time", "seq", "altitude")
-    return rounded(apply_per_entity(tracks, FX, [normalise], "flight_id bigint, seq bigint, share double"), 8)
+    return rounded(apply_per_entity(tracks, FX, [normalise], "flight_id bigint, seq bigint, share double",
+                                    {"known": F.count("altitude"), "top": F.max("altitude")}), 8)
 
 
 # --- models -------------------------------------------------------------------------------------
