@@ -4,13 +4,13 @@ Categories are predicted one after the other; each model sees the hashed words o
 before it.  For learning, these probabilities come from models that did not see the row (out-of-fold); for scoring, from the models
 learnt on all rows.  So a later model meets at scoring what it met at learning.
 
-Features are the presence of a word or of a word's beginning (five to seven letters), hashed to ``HASHED`` numbers.  Which of them matter is decided over all
-labelled rows: counts per feature and category are added up in Spark, and those with the largest standardised difference of frequencies are selected.
+Features are the presence of a word or of a word's beginning (five to seven letters), hashed to ``HASHED`` numbers.  Which of them matter is decided by
+counts per feature and category, added up in Spark: those with the largest standardised difference of frequencies are selected.
 A text is then the short list of its selected features, so long texts and short ones are treated alike.
 
-Scale: one pass over the labelled texts for counts (partitions pre-aggregate; at most ``HASHED`` rows come out of the shuffle), one over all texts for
-their selected features, written; the models are fit on the driver on at most ``sample`` labelled rows, those with the smallest hash
-of their id; scoring is a map over the written features.
+Scale: learning takes at most ``sample`` labelled ids, those with the smallest hash, so their list is safe to broadcast and no text of another
+row moves; their texts give the counts, and the models are fit on the driver.  One pass over all texts writes their selected features, and
+scoring is a map over those.
 
 Defined cases: a null or empty text has no features and gets the base rate; null ids and unlabelled rows teach nothing; an id with several
 labels has the highest; with no labelled row of a category, or no other, its probability is the share among labelled rows (0 without any);
@@ -201,25 +201,26 @@ def select_features(counts: DataFrame, names: list[str], each: int) -> np.ndarra
 
 
 def labelled(docs: DataFrame, labels: DataFrame, seeds: dict[str, tuple[str, ...]], id_col: str, text_col: str, label_col: str,
-             may_learn: Column) -> DataFrame:
-    """Labelled rows with a 0/1 column per seeded category and one for the label itself, last in the chain."""
+             may_learn: Column, sample: int) -> DataFrame:
+    """At most ``sample`` labelled documents with a 0/1 column per seeded category and one for the label itself, last in the chain."""
     known = any_value_of(labels, id_col, label_col).select(F.col(f"`{id_col}`").alias("_llm_id"), F.col(f"`{label_col}`").cast("int").alias("_llm_label"))
-    rows = docs.select(F.col(f"`{id_col}`").alias("_llm_id"), F.col(f"`{text_col}`").alias("_llm_text")).where(may_learn).join(known, "_llm_id")
+    known = written(known.where(may_learn).orderBy(F.xxhash64("_llm_id"), "_llm_id").limit(sample), "sampled-labels")
+    rows = docs.select(F.col(f"`{id_col}`").alias("_llm_id"), F.col(f"`{text_col}`").alias("_llm_text")).join(F.broadcast(known), "_llm_id")
+    rows = rows.dropDuplicates(["_llm_id"])
     lower = F.lower(F.coalesce("_llm_text", F.lit("")))
     kinds = {f"p_{k}": (F.col("_llm_label") == 1) & lower.rlike(rf"(?<![\p{{L}}])({'|'.join(terms)})(?![\p{{L}}])") for k, terms in seeds.items()}
     return rows.select("_llm_id", "_llm_text", *[c.cast("int").alias(n) for n, c in kinds.items()], F.col("_llm_label").alias(f"p_{label_col}"))
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          seeds: dict[str, tuple[str, ...]] | None = None, each: int = 400, sample: int = 20_000, folds: int = 4, threshold: float = 0.5) -> DataFrame:
+          seeds: dict[str, tuple[str, ...]] | None = None, each: int = 400, sample: int = 25_000, folds: int = 4, threshold: float = 0.5) -> DataFrame:
     """One row per document: id, ``held_out``, a probability per category (``p_<category>``, the label's own last) and ``predicted``.
 
-    Rows that ``held_out`` keeps back are not learnt from.  ``sample`` bounds the rows that the models are fit on; which features matter is
-    decided over all labelled rows.
+    Rows that ``held_out`` keeps back are not learnt from.  ``sample`` bounds the labelled rows that features are chosen and models are fit on.
     """
     seeds = SEEDS if seeds is None else seeds
     names = [*(f"p_{k}" for k in seeds), f"p_{label_col}"]
-    learn = materialise(labelled(docs, labels, seeds, id_col, text_col, label_col, ~held_out(F.col("_llm_id"))), "labelled")
+    learn = materialise(labelled(docs, labels, seeds, id_col, text_col, label_col, ~held_out(F.col("_llm_id")), sample), "labelled")
     schema = "_llm_f bigint, _llm_n bigint, " + ", ".join(f"{n} bigint" for n in names)
     parts = learn.select("_llm_text", *names).mapInPandas(_counts(names), schema)
     counts = parts.groupBy("_llm_f").agg(F.sum("_llm_n").alias("_llm_n"), *[F.sum(n).alias(n) for n in names])
@@ -229,8 +230,8 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     kind = docs.schema[id_col].dataType.simpleString()
     picked = docs.select(F.col(f"`{id_col}`").alias("_llm_id"), F.col(f"`{text_col}`").alias("_llm_text"))
     hits = written(picked.mapInPandas(_hits(selected), f"_llm_id {kind}, _llm_hits array<int>"), "hits")
-    few = (learn.select("_llm_id", *names).join(hits, "_llm_id").withColumn("_llm_order", F.xxhash64("_llm_id"))
-           .orderBy("_llm_order", "_llm_id").limit(sample).toPandas())
+    few = (hits.join(F.broadcast(learn.select("_llm_id", *names)), "_llm_id").dropDuplicates(["_llm_id"])
+           .withColumn("_llm_order", F.xxhash64("_llm_id")).toPandas().sort_values(["_llm_order", "_llm_id"]))
     rows = [np.asarray(h, dtype=np.int64) for h in few["_llm_hits"]]
     chain = fit_chain(rows, few[names].to_numpy(dtype=np.int64).reshape(len(rows), len(names)), (few["_llm_order"].to_numpy(dtype=np.int64) // 7 % folds), max(1, len(selected)), folds)
 
