@@ -1,7 +1,7 @@
 """Near-duplicate detection with HyperMinHash sketches, confirmed on full shingle sets.
 
 A text's set is its distinct word 5-grams.  Its sketch has 256 buckets; each keeps the smallest hash that falls into it, compressed to
-the count of leading zeros and ten mantissa bits.  Buckets that stay empty are filled by a second hash of all shingles, and
+the count of leading zeros and eight mantissa bits.  Buckets that stay empty are filled by a second hash of all shingles, and
 what is still empty then by a hash of its own, so that small sets have full sketches too and two registers agree with
 just the Jaccard similarity (plus chance hits of the compression, which the estimate subtracts).  Bands of five registers
 give candidates; their similarity is estimated from the registers, and what may reach the threshold is confirmed on the full sets.
@@ -35,7 +35,7 @@ from trackmill.llm.common import written
 from trackmill.session import materialise
 
 BUCKETS = 256
-MANTISSA = 10
+MANTISSA = 8
 ROWS = 5
 BANDS = 40
 #: Members of a band bucket, and strays, that one block compares, and shingles that they may have together.
@@ -82,16 +82,16 @@ def _first(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _compressed(value: np.ndarray, stage: int) -> np.ndarray:
-    """Stage, leading zeros and mantissa of 56-bit values, in 18 bits."""
+    """Stage (two bits), leading zeros (six) and mantissa (eight) of 56-bit values."""
     length = np.frexp((value >> _U(4)).astype(np.float64))[1].astype(np.int64) + 4
     length = np.where(length == 4, 4, length)
     zeros = (_VALUE_BITS - length).astype(_U)
     mantissa = ((value << (zeros + _U(1))) & _LOW) >> _U(_VALUE_BITS - MANTISSA)
-    return ((_U(stage) << _U(6 + MANTISSA)) | (zeros << _U(MANTISSA)) | mantissa).astype(np.uint32)
+    return ((_U(stage) << _U(6 + MANTISSA)) | (zeros << _U(MANTISSA)) | mantissa).astype("<u2")
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
-    """256 registers of a non-empty set, as 32-bit integers."""
+    """256 registers of a non-empty set, of two bytes each."""
     filled, value = _first(shingles)
     out = _compressed(value, 0)
     if not filled.all():
@@ -133,16 +133,10 @@ def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sets = [shingle_set(t) for t in batch.pop("_llm_text")]
         batch["n_shingles"] = [len(s) for s in sets]
         batch["_llm_set"] = [xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None for s in sets]
-        # The stage and leading zeros take 8 bits together, and go with the mantissa's upper 8 into two bytes.
-        batch["_llm_regs"] = [_bytes(sketch(s)) if len(s) else None for s in sets]
+        batch["_llm_regs"] = [sketch(s).tobytes() if len(s) else None for s in sets]
         yield batch
 
 
-def _bytes(registers: np.ndarray) -> bytes:
-    """Registers as two bytes each: two bits of stage, the count of leading zeros (six bits, of which small ones occur), eight of mantissa."""
-    return ((registers >> np.uint32(MANTISSA) << np.uint32(8)) | (registers & np.uint32(1023)) >> np.uint32(2)).astype("<u2").tobytes()
-
-
 def _bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     place = np.arange(1, BANDS + 1, dtype=_U) * _U(0xD1B54A32D192ED03)
     for batch in batches:
