@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from trackmill.functions.geo import haversine
 from trackmill.functions.physics import FTMIN_TO_MPS, GRAVITY_ROUNDED, KT_TO_MPS, path_angle
 from trackmill.functions.timing import MICROS, micros, seconds
-from trackmill.operators.percentiles import GROUP_ROWS, exact_percentiles
+from trackmill.operators.percentiles import exact_percentiles
 from trackmill.operators.slices import Series, position
 
 INITIAL_CLIMB_BELOW = 10_000.0
@@ -45,8 +45,7 @@ def durations(df: DataFrame, s: Series, in_cruise: str = "in_cruise") -> DataFra
     return df.groupBy(s.key).agg(*[c.alias(n) for n, c in _durations(us).items()])
 
 
-def flight_features(df: DataFrame, s: Series, in_cruise: str = "in_cruise",
-                    group_rows: int = GROUP_ROWS) -> DataFrame:
+def flight_features(df: DataFrame, s: Series, in_cruise: str = "in_cruise") -> DataFrame:
     """48 features per flight from enriched samples.
 
     One aggregation of mergeable states (so a flight of any size combines map-side) joined
@@ -94,7 +93,7 @@ def flight_features(df: DataFrame, s: Series, in_cruise: str = "in_cruise",
         "median_initroc": (F.when(subsets["initclimb"], F.col("vertical_rate")), 0.5),
         "median_roc": (F.when(subsets["climb"], F.col("vertical_rate")), 0.5),
         "median_rod": (F.when(subsets["descent"], F.col("vertical_rate")), 0.5),
-    }, group_rows)
+    })
     # Subsets, picked values and aggregates in steps of their own keep the generated code small.
     flagged = df.withColumns({f"_in_{n}": rows for n, rows in subsets.items()})
     values = flagged.select(s.key, "airdist", "mass_loss", *[c.alias(n) for n, c in picked.items()])

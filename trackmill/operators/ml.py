@@ -268,7 +268,6 @@ def impute_by_model(df: DataFrame, cols: Sequence[str] | None = None, k: int = 5
         return df
     out = materialise(df, "impute")
     if method == "median":
-        # The whole table is one group, so its exact medians come from the hot-group selection at scale.
         everything = out.withColumn("_all", F.lit(0))
         medians = exact_percentiles(everything, ["_all"], {c: (F.col(c), 0.5) for c in todo}).first()
         kinds = dict(out.dtypes)

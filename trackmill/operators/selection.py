@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackmill.operators.cleaning import dedup_first
-from trackmill.operators.percentiles import GROUP_ROWS, exact_percentiles
 from trackmill.operators.stats import rmse_expr
 
 #: Error assigned to a group a model cannot be scored on.  Fixed value.
@@ -121,10 +120,9 @@ def pivot_predictions(preds: DataFrame, models: Sequence[int], key: str = "fligh
     ])
 
 
-def median_vote(preds: DataFrame, key: str = "flight_id", predicted: str = "tow_pred", name: str = "tow",
-                group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Median over all models per flight."""
-    return exact_percentiles(preds, [key], {name: (F.col(predicted), 0.5)}, group_rows)
+def median_vote(preds: DataFrame, key: str = "flight_id", predicted: str = "tow_pred", name: str = "tow") -> DataFrame:
+    """Median over all models per flight: a group holds one row per model, and models are few by nature."""
+    return preds.groupBy(key).agg(F.percentile(predicted, F.lit(0.5)).alias(name))
 
 
 def weighted_vote(preds: DataFrame, weight: str, key: str = "flight_id", predicted: str = "tow_pred",

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackmill.operators.cleaning import numeric_columns
-from trackmill.operators.percentiles import GROUP_ROWS, exact_percentiles
+from trackmill.operators.percentiles import exact_percentiles
 
 
 def _cross_sums(cols: Sequence[str], shift: Sequence[float]):
@@ -84,7 +84,7 @@ def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def type_stats(df: DataFrame, by: str = "aircraft_type", flown: str = "flown_distance",
-               climb: str = "climb_range", group_rows: int = GROUP_ROWS) -> DataFrame:
+               climb: str = "climb_range") -> DataFrame:
     """Median, largest and smallest flown distance and climb range per type."""
     extremes = df.groupBy(by).agg(
         F.max(flown).alias("max_flown_dist"), F.min(flown).alias("min_flown_dist"),
@@ -92,12 +92,11 @@ def type_stats(df: DataFrame, by: str = "aircraft_type", flown: str = "flown_dis
     )
     medians = exact_percentiles(df, [by], {
         "median_flown_distance": (F.col(flown), 0.5), "median_climb_range": (F.col(climb), 0.5),
-    }, group_rows).withColumnRenamed(by, "_by")
+    }).withColumnRenamed(by, "_by")
     return extremes.join(medians, F.col(by).eqNullSafe(F.col("_by")), "left").drop("_by")
 
 
-def normalise_by_reference(df: DataFrame, by: str = "aircraft_type", max_nulls: int = 1000,
-                           group_rows: int = GROUP_ROWS) -> DataFrame:
+def normalise_by_reference(df: DataFrame, by: str = "aircraft_type", max_nulls: int = 1000) -> DataFrame:
     """Climb range and remaining distance relative to the type's reference ranges.
 
     Expects ``climb_range_ref`` and ``cruise_range_ref`` (see ``join_dim``).  A type with more than
@@ -112,7 +111,7 @@ def normalise_by_reference(df: DataFrame, by: str = "aircraft_type", max_nulls:
         F.count_if(F.col("_climb").isNull()).alias("_climb_nulls"),
         F.count_if(F.col("_flown").isNull()).alias("_flown_nulls"),
     )
-    medians = exact_percentiles(df, [by], {"_climb_median": (climb, 0.5), "_flown_median": (flown, 0.5)}, group_rows)
+    medians = exact_percentiles(df, [by], {"_climb_median": (climb, 0.5), "_flown_median": (flown, 0.5)})
     per_type = gaps.join(medians, by, "left").withColumnRenamed(by, "_by")
     return out.join(per_type, F.col(by) == F.col("_by"), "left").withColumns({
         "climb_range_normalized": F.when(
@@ -124,9 +123,9 @@ def normalise_by_reference(df: DataFrame, by: str = "aircraft_type", max_nulls:
     }).drop("_by", "_climb", "_flown", "_climb_nulls", "_flown_nulls", "_climb_median", "_flown_median")
 
 
-def fill_group_median(df: DataFrame, col: str, by: str, group_rows: int = GROUP_ROWS) -> DataFrame:
+def fill_group_median(df: DataFrame, col: str, by: str) -> DataFrame:
     """Fill NULLs of ``col`` with the median of the row's group."""
-    medians = exact_percentiles(df, [by], {"_median": (F.col(col), 0.5)}, group_rows).withColumnRenamed(by, "_by")
+    medians = exact_percentiles(df, [by], {"_median": (F.col(col), 0.5)}).withColumnRenamed(by, "_by")
     out = df.join(medians, F.col(by) == F.col("_by"), "left")
     return out.withColumn(col, F.coalesce(F.col(col), F.col("_median"))).drop("_by", "_median")
 

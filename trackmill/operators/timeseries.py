@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trackmill.functions.physics import KT_TO_MPS
 from trackmill.functions.timing import MICROS, ceil_div, floor_div, micros, seconds
-from trackmill.operators.percentiles import GROUP_ROWS, exact_percentiles
+from trackmill.operators.percentiles import exact_percentiles
 from trackmill.operators.slices import (
     Series,
     Step,
@@ -180,7 +180,7 @@ def mark_between(df: DataFrame, after_last: Column, until_first: Column, keep: C
 def trim_band_with_fallback(df: DataFrame, s: Series = DEFAULT, flag: str = "cruise", speed: str = "tas",
                             height: str = "altitude", name: str = "in_cruise",
                             band: tuple[float, float] = (0.15, 0.85), top: float = 0.8,
-                            middle: tuple[float, float] = (0.2, 0.8), group_rows: int = GROUP_ROWS) -> DataFrame:
+                            middle: tuple[float, float] = (0.2, 0.8)) -> DataFrame:
     """Mark the steady part of the cruise.
 
     Flagged rows whose speed and height both lie strictly inside the entity's ``band`` percentiles
@@ -195,7 +195,7 @@ def trim_band_with_fallback(df: DataFrame, s: Series = DEFAULT, flag: str = "cru
         "_height_lo": (F.when(flagged, F.col(height)), lo),
         "_height_hi": (F.when(flagged, F.col(height)), hi),
         "_height_top": (F.col(height), top),
-    }, group_rows)
+    })
     steady = F.coalesce(
         flagged
         & (F.col(speed) > F.col("_speed_lo")) & (F.col(speed) < F.col("_speed_hi"))
