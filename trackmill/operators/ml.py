@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -20,10 +20,14 @@ from trackmill.operators.stats import corr_matrix, rmse_expr, topk_per_group
 from trackmill.session import materialise, shared_dir
 
 
+#: Codes of a wide category: what bounds its table of means, in the driver and in the model.
+WIDE_CODES = 1 << 16
+
+
 @dataclass(frozen=True)
 class Features:
-    """What a model reads.  ``wide`` categories have too many values for tree splits and are
-    encoded by the mean label of their value, fitted on the training rows only."""
+    """What a model reads.  ``wide`` categories have too many values for tree splits: values are hashed to
+    ``WIDE_CODES`` codes and encoded by the mean label of their code, fitted on the training rows only."""
 
     numeric: Sequence[str]
     categorical: Sequence[str] = ()
@@ -42,35 +46,40 @@ class Features:
 
 @dataclass(frozen=True)
 class Boosting:
-    """Parameters of the boosted trees; the defaults are a trial size, see ``FULL`` for a real one."""
+    """Parameters of the boosted trees.  ``max_bins`` grows to the largest category.
 
-    iterations: int = 20
-    step: float = 0.1
-    depth: int = 5
-    feature_fraction: str = "all"
+    Fixed values: the defaults are the published settings, as far as level-wise trees have them.
+    """
+
+    iterations: int = 680
+    step: float = 0.0511
+    depth: int = 8
+    feature_fraction: str = "0.5022"
     row_fraction: float = 1.0
-    min_rows: int = 1
+    min_rows: int = 36
     max_bins: int = 64
     seed: int = 42
 
 
-#: The published settings as far as level-wise trees have them.
-FULL = Boosting(iterations=680, step=0.0511, depth=8, feature_fraction="0.5022", min_rows=36)
+#: A small size, to try things out.
+TRIAL = Boosting(iterations=20, step=0.1, depth=5, feature_fraction="all", min_rows=1)
 
 
 def build_pipeline(features: Features, params: Boosting) -> Pipeline:
     """Indexing, encoding, missing-value indicators, median filling, assembly and the regressor."""
     stages = []
     inputs: list[str] = []
-    indexed = [*features.categorical, *features.wide]
-    if indexed:
-        text = ", ".join(f"CAST(`{c}` AS STRING) AS `{c}_text`" for c in indexed)
+    if features.categorical:
+        text = ", ".join(f"CAST(`{c}` AS STRING) AS `{c}_text`" for c in features.categorical)
         stages.append(SQLTransformer(statement=f"SELECT *, {text} FROM __THIS__"))
         stages.append(StringIndexer(
-            inputCols=[f"{c}_text" for c in indexed], outputCols=[f"{c}_index" for c in indexed], handleInvalid="keep"
+            inputCols=[f"{c}_text" for c in features.categorical], outputCols=[f"{c}_index" for c in features.categorical],
+            handleInvalid="keep",
         ))
         inputs += [f"{c}_index" for c in features.categorical]
     if features.wide:
+        codes = ", ".join(f"CAST(pmod(xxhash64(CAST(`{c}` AS STRING)), {WIDE_CODES}) AS DOUBLE) AS `{c}_index`" for c in features.wide)
+        stages.append(SQLTransformer(statement=f"SELECT *, {codes} FROM __THIS__"))
         stages.append(TargetEncoder(
             inputCols=[f"{c}_index" for c in features.wide], outputCols=[f"{c}_mean" for c in features.wide],
             labelCol=features.label, targetType="continuous", handleInvalid="keep", smoothing=10.0,
@@ -101,20 +110,20 @@ def build_pipeline(features: Features, params: Boosting) -> Pipeline:
     return Pipeline(stages=[*stages, boosted])
 
 
-def known_numeric(df: DataFrame, features: Features) -> Features:
-    """Leave out numeric columns without any known value in ``df``; they cannot be filled."""
-    if not features.numeric:
-        return features
-    counts = df.agg(*[F.count(c).alias(c) for c in features.numeric]).first()
-    return Features(
-        [c for c in features.numeric if counts[c]], features.categorical, features.wide,
-        features.label, features.weight, features.key,
-    )
+def fitting(df: DataFrame, features: Features, params: Boosting) -> tuple[Features, Boosting]:
+    """Without numeric columns that have no known value in ``df`` (they cannot be filled), and with a bin per category."""
+    counts = df.agg(
+        F.count(F.lit(1)), *[F.count(c).alias(f"n_{c}") for c in features.numeric],
+        *[F.count_distinct(c).alias(f"d_{c}") for c in features.categorical],
+    ).first()
+    # One bin more is for values that the training rows do not hold.
+    bins = max([params.max_bins, *[counts[f"d_{c}"] + 1 for c in features.categorical]])
+    return replace(features, numeric=[c for c in features.numeric if counts[f"n_{c}"]]), replace(params, max_bins=bins)
 
 
 def fit(df: DataFrame, features: Features, params: Boosting = Boosting()) -> PipelineModel:
     shared_dir(df.sparkSession)  # boosting checkpoints its residuals there
-    return build_pipeline(known_numeric(df, features), params).fit(df)
+    return build_pipeline(*fitting(df, features, params)).fit(df)
 
 
 def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -135,24 +144,29 @@ class Trained:
 
 
 def gbt_fit_predict(df: DataFrame, features: Features, params: Boosting = Boosting(), test_percent: int = 20,
-                    unlabelled: DataFrame | None = None, keep: Sequence[str] = ("aircraft_type",)) -> Trained:
+                    unlabelled: DataFrame | None = None, keep: Sequence[str] = ("aircraft_type",),
+                    weigh: Callable[[DataFrame], DataFrame] | None = None, also: Sequence[str] = ()) -> Trained:
     """Fit on the train part, score on the test part, refit on all labelled rows, predict the others.
 
-    Training rows are materialised once as they are read in every boosting round.
+    ``weigh`` adds the weight column (from ``also``, if it needs more columns), to the train part for the first fit and to all
+    labelled rows for the second: no weight knows of test rows.  Training rows are materialised once as they
+    are read in every boosting round.
     """
     label, key = features.label, features.key
-    used = list(dict.fromkeys([
-        key, label, *features.numeric, *features.categorical, *features.wide,
-        *([features.weight] if features.weight else []), *keep,
-    ]))
+    given = [features.weight] if features.weight and weigh is None else []
+    used = list(dict.fromkeys([key, label, *features.numeric, *features.categorical, *features.wide, *given, *keep, *also]))
+
+    def weighted(part: DataFrame) -> DataFrame:
+        return part if weigh is None else materialise(weigh(part), "weighted")
+
     labelled = materialise(
         split_train_test(df.filter(F.col(label).isNotNull()).select(*used), key, test_percent), "labelled"
     )
-    holdout = fit(labelled.filter("test = 0"), features, params)
+    holdout = fit(weighted(labelled.filter("test = 0")), features, params)
     predictions = materialise(predict(holdout, labelled, [key, *keep, "test", label]), "predictions")
     rows = predictions.groupBy("test").agg(rmse_expr(label).alias("rmse")).collect()
     by_part = {r["test"]: r["rmse"] for r in rows}
-    full = fit(labelled, features, params)
+    full = fit(weighted(labelled), features, params)
     rest = df.filter(F.col(label).isNull()) if unlabelled is None else unlabelled
     submission = predict(full, rest, [key, *keep]).select(key, *keep, F.col("tow_pred").alias(label))
     return Trained(holdout, full, predictions, submission, {"train": by_part.get(0), "test": by_part.get(1)})
@@ -170,6 +184,13 @@ def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def save_run(trained: Trained, folder: str, model_id: int, spark: SparkSession) -> None:
+    """Both models of a training run, and the importances of the one that was scored."""
+    save_model(trained.full, f"{folder}/model_{model_id}")
+    save_model(trained.holdout, f"{folder}/holdout_{model_id}")
+    feature_importance(spark, trained.holdout).write.mode("overwrite").parquet(f"{folder}/importance_{model_id}")
+
+
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
@@ -190,7 +211,7 @@ def train_per_group(df: DataFrame, features: Features, groups: Sequence, by: str
 
     Returns long predictions and submissions tagged ``model_id``, and the scores of each model overall and
     on its own group.  ``groups`` is a short list (types above the rarity threshold).  The cap counts
-    labelled and unlabelled rows, before the unlabelled ones are set aside.
+    labelled and unlabelled rows, before the unlabelled ones are set aside.  ``save_to`` gets what :func:`save_run` writes.
     """
     source = materialise(df, "group_source")
     unlabelled = source.filter(F.col(features.label).isNull())
@@ -198,13 +219,16 @@ def train_per_group(df: DataFrame, features: Features, groups: Sequence, by: str
 
     def one(model_id: int, group) -> Trained:
         chosen = undersample(source, by, group, share, features.key).filter(F.col(features.label).isNotNull())
-        chosen = weights_inverse_freq(materialise(chosen, "chosen"), by, group, boosted)
-        trained = gbt_fit_predict(chosen, weighted, params, unlabelled=unlabelled.withColumn("weight", F.lit(1.0)), keep=[by])
+        chosen = materialise(chosen.withColumn("_boosted", F.lit(False) if boosted is None else F.coalesce(boosted, F.lit(False))), "chosen")
+        trained = gbt_fit_predict(
+            chosen, weighted, params, unlabelled=unlabelled, keep=[by], also=["_boosted"],
+            weigh=lambda part: weights_inverse_freq(part, by, group, None if boosted is None else F.col("_boosted")),
+        )
         trained.extra["own"] = trained.predictions.filter((F.col("test") == 1) & F.col(by).eqNullSafe(F.lit(group))).agg(
             rmse_expr(features.label)
         ).first()[0]
         if save_to:
-            save_model(trained.full, f"{save_to}/model_{model_id}")
+            save_run(trained, save_to, model_id, df.sparkSession)
         return trained
 
     results = run_jobs([lambda i=i, g=g: one(i, g) for i, g in enumerate(groups)], parallel)
@@ -231,8 +255,8 @@ def _stack(spark: SparkSession, results: Sequence[Trained], names: Sequence[str]
 
 def train_ensemble(df: DataFrame, features: Features, plan: Sequence[tuple[int, Sequence[str]]],
                    params: Boosting = Boosting(), parallel: int = 4,
-                   failed: Callable[[int, Exception], None] | None = None):
-    """One model per feature list of ``plan``; a failing fit is reported and skipped.
+                   failed: Callable[[int, Exception], None] | None = None, save_to: str | None = None):
+    """One model per feature list of ``plan``; a failing fit is reported and skipped.  ``save_to`` gets what :func:`save_run` writes.
 
     Returns predictions, submissions and scores as :func:`train_per_group` does.
     """
@@ -240,7 +264,10 @@ def train_ensemble(df: DataFrame, features: Features, plan: Sequence[tuple[int,
 
     def one(model_id: int, names: Sequence[str]) -> Trained | None:
         try:
-            return gbt_fit_predict(source, features.only(names), params)
+            trained = gbt_fit_predict(source, features.only(names), params)
+            if save_to:
+                save_run(trained, save_to, model_id, df.sparkSession)
+            return trained
         except Exception as error:  # go on with the other models
             (failed or (lambda i, e: print(f"model {i} failed: {e}")))(model_id, error)
             return None
@@ -314,7 +341,7 @@ def impute_by_model(df: DataFrame, cols: Sequence[str] | None = None, k: int = 5
 
 
 __all__ = [
-    "Boosting", "FULL", "Features", "Trained", "build_pipeline", "feature_importance", "fit",
-    "gbt_fit_predict", "impute_by_model", "load_model", "predict", "run_jobs", "save_model", "train_ensemble",
+    "Boosting", "Features", "TRIAL", "Trained", "build_pipeline", "feature_importance", "fit",
+    "gbt_fit_predict", "impute_by_model", "load_model", "predict", "run_jobs", "save_model", "save_run", "train_ensemble",
     "train_per_group",
 ]

@@ -18,8 +18,8 @@ def split_train_test(df: DataFrame, key: str = "flight_id", test_percent: int =
     return df.withColumn(name, F.when(hash_number(key, seed) % 100 < test_percent, 1).otherwise(0))
 
 
-#: Hex digits of the hash used to locate a class's cut: 4096 equal parts.
-_CUT_DIGITS = 3
+#: Hex digits of the hash used to locate a class's cut: about a million equal parts, of which one is ranked.
+_CUT_DIGITS = 5
 
 
 def undersample(df: DataFrame, by: str, interest, share: float = 0.85, key: str = "flight_id",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 from operator import and_
 
@@ -12,7 +13,7 @@ from trackmill.functions.timing import micros
 from trackmill.operators import enrich, ml, sampling, selection, stats
 from trackmill.plans import blocks, catalog_flights, flows
 from trackmill.plans.blocks import FX
-from trackmill.plans.catalog_flights import CODED, factorize_sql
+from trackmill.plans.catalog_flights import CODED, SPLIT_SQL, factorize_sql
 from trackmill.plans.catalog_samples import (
     FIXED_STEP_SQL,
     band_sql,
@@ -295,7 +296,9 @@ def per_entity_apply(spark, sf):
 
 # --- models -------------------------------------------------------------------------------------
 
-SMALL = ml.Boosting(iterations=5, depth=4)
+# Small models: what SQL can check of a model does not depend on its size.
+SMALL = replace(ml.TRIAL, iterations=5, depth=4)
+TINY = replace(ml.TRIAL, iterations=2, depth=3)
 MODEL_FEATURES = ml.Features(
     numeric=["flown_distance", "flight_duration", "hour", "m_tow"], categorical=["airline", "adep"], wide=["adepdespair"],
 )
@@ -313,21 +316,34 @@ def model_table(spark, sf):
     return materialise(df, "model_table")
 
 
-@query("gbt_fit_predict")
+# SQL states what holds for any sound fit: each flight once, in its part, predicted, and better than by the mean.
+@query("gbt_fit_predict", f"""
+SELECT flight_id, CASE WHEN tow IS NOT NULL THEN {SPLIT_SQL} END AS test, tow, true AS predicted, true AS better_than_mean FROM flights""")
 def gbt_fit_predict(spark, sf):
     trained = ml.gbt_fit_predict(model_table(spark, sf), MODEL_FEATURES, SMALL)
-    tested = trained.predictions.select("flight_id", "test", "tow", F.round("tow_pred", 2).alias("tow_pred"))
+    tested = trained.predictions.select("flight_id", "test", "tow", F.col("tow_pred").isNotNull().alias("predicted"))
     rest = trained.submission.select(
-        "flight_id", F.lit(None).cast("int").alias("test"), F.lit(None).cast("double").alias("tow"),
-        F.round("tow", 2).alias("tow_pred"),
+        "flight_id", F.lit(None).cast("int").alias("test"), F.lit(None).cast("double").alias("tow"), F.col("tow").isNotNull().alias("predicted"),
     )
-    return tested.unionByName(rest)
+    spread = trained.predictions.filter("test = 1").agg(F.stddev_pop("tow")).scalar()
+    return tested.unionByName(rest).withColumn("better_than_mean", F.lit(trained.scores["test"]) < spread)
 
 
-@query("feature_importance")
+MODEL_INPUTS = ("airline_index", "adep_index", "adepdespair_level", *[
+    f"{c}_{part}" for part in ("filled", "missing") for c in ("flown_distance", "flight_duration", "hour", "m_tow")])
+
+
+# The label is the distance in other units, but for noise and a term per type.
+@query("feature_importance", "SELECT feature, true AS in_range, feature = 'flown_distance_filled' AS largest, 1e0 AS total FROM (VALUES "
+       + ", ".join(f"('{c}')" for c in MODEL_INPUTS) + ") AS m(feature)")
 def feature_importance(spark, sf):
     df = model_table(spark, sf).filter(F.col("tow").isNotNull())
-    return ml.feature_importance(spark, ml.fit(df, MODEL_FEATURES, SMALL))
+    found = ml.feature_importance(spark, ml.fit(df, MODEL_FEATURES, SMALL))
+    return found.select(
+        "feature", F.col("importance").between(0.0, 1.0).alias("in_range"),
+        (F.col("importance") == found.agg(F.max("importance")).scalar()).alias("largest"),
+        F.round(found.agg(F.sum("importance")).scalar(), 9).alias("total"),
+    )
 
 
 @query("align_features", "SELECT flight_id, true AS same FROM flights")
@@ -352,15 +368,21 @@ def sink_model(spark, sf):
     return before.join(after, "flight_id").select("flight_id", (F.col("tow_pred") == F.col("tow_loaded")).alias("same"))
 
 
-@query("train_per_group")
+@query("train_per_group", """
+SELECT CAST(t.model_id AS INTEGER) AS model_id, t.own AS name, count(*) AS n, true AS scored
+FROM (SELECT aircraft_type AS own, row_number() OVER (ORDER BY aircraft_type) - 1 AS model_id, floor(count(*) * 85e-2) AS cap FROM keyed GROUP BY aircraft_type) t
+JOIN (SELECT aircraft_type, tow, row_number() OVER (PARTITION BY aircraft_type ORDER BY md5('42|' || CAST(flight_id AS VARCHAR)), flight_id) AS rk FROM keyed) k
+  ON k.aircraft_type = t.own OR k.rk <= t.cap
+WHERE k.tow IS NOT NULL GROUP BY t.model_id, t.own""")
 def train_per_group(spark, sf):
     df = model_table(spark, sf)
     groups = [r[0] for r in df.select("aircraft_type").distinct().orderBy("aircraft_type").collect()]
     predictions, _, scores = ml.train_per_group(
-        df, MODEL_FEATURES, groups, params=ml.Boosting(iterations=2, depth=3), boosted=F.col("airline") == "AL3"
+        df, MODEL_FEATURES, groups, params=TINY, boosted=F.col("airline") == "AL3"
     )
     counted = predictions.groupBy("model_id").agg(F.count(F.lit(1)).alias("n"))
-    return rounded(scores.join(counted, "model_id"), 2)
+    scored = F.col("rmse_train").isNotNull() & F.col("rmse_test").isNotNull() & F.col("rmse_own").isNotNull()
+    return scores.join(counted, "model_id").select("model_id", "name", "n", scored.alias("scored"))
 
 
 MODEL_POOL = ("aircraft_type", "airline", "adep", "ades", "country_code_adep", "country_code_ades", "flown_distance",
@@ -392,13 +414,14 @@ def feature_subsets(spark, sf):
     return counts.select(F.explode(rows).alias("r")).select("r.*")
 
 
-@query("train_ensemble")
+@query("train_ensemble", "SELECT flight_id, 4 AS models, true AS predicted FROM flights WHERE tow IS NOT NULL")
 def train_ensemble(spark, sf):
     df = model_table(spark, sf)
     pool = [*MODEL_FEATURES.numeric, *MODEL_FEATURES.categorical, *MODEL_FEATURES.wide]
     plan = sampling.feature_subsets([["flown_distance"], ["flown_distance", "airline"]], pool, draws=2, extra=3)
-    predictions, _, _ = ml.train_ensemble(df, MODEL_FEATURES, plan, ml.Boosting(iterations=2, depth=3))
-    return rounded(selection.median_vote(predictions), 2)
+    predictions, _, _ = ml.train_ensemble(df, MODEL_FEATURES, plan, TINY)
+    models = predictions.groupBy("flight_id").agg(F.count_distinct("model_id").alias("models"))
+    return selection.median_vote(predictions).join(models, "flight_id").select("flight_id", "models", F.col("tow").isNotNull().alias("predicted"))
 
 
 def gappy(spark, sf):
@@ -420,31 +443,38 @@ def pipe_train_select(spark, sf):
     """Train an ensemble, publish it, read it back, and select a submission from it."""
     df = model_table(spark, sf)
     plan = sampling.feature_subsets([["flown_distance"]], [*MODEL_FEATURES.numeric, *MODEL_FEATURES.categorical], draws=2, extra=2)
-    predictions, submissions, _ = ml.train_ensemble(df, MODEL_FEATURES, plan, ml.Boosting(iterations=2, depth=3))
+    predictions, submissions, _ = ml.train_ensemble(df, MODEL_FEATURES, plan, TINY)
     folder = fresh_path(spark, "run")
     flows.publish(predictions, submissions, folder)
     chosen = flows.select_submission(spark, folder, df.filter(F.col("tow").isNull()).select("flight_id"))
     return chosen.select("flight_id", F.col("tow").isNotNull().alias("predicted"))
 
 
-@query("impute_by_model")
-def impute_by_model(spark, sf):
-    return rounded(ml.impute_by_model(gappy(spark, sf), iterations=5, depth=4, k=3), 2)
+def known_and_complete(before, after, filled, *others):
+    """What an imputation must keep, the known values of ``filled``, and whether it has left no gap."""
+    gaps = before.select("flight_id", *[F.col(c).isNull().alias(f"_{c}") for c in filled])
+    complete = reduce(and_, [F.col(c).isNotNull() for c in filled])
+    return after.join(gaps, "flight_id").select(
+        "flight_id", *others, *[F.when(~F.col(f"_{c}"), F.col(c)).alias(c) for c in filled], complete.alias("complete"),
+    )
 
 
 # SQL states what any imputation must keep: known values unchanged, no gap left, the label untouched.
-@query("impute_linear", """
-SELECT flight_id, flight_duration, flown_distance, tow, climb_range, mean_speed, true AS complete FROM gappy""")
+KEPT_SQL = "SELECT flight_id, flight_duration, flown_distance, tow, climb_range, mean_speed, true AS complete FROM gappy"
+
+
+@query("impute_by_model", KEPT_SQL)
+def impute_by_model(spark, sf):
+    before = gappy(spark, sf)
+    after = ml.impute_by_model(before)
+    return known_and_complete(before, after, ("climb_range", "mean_speed"), "flight_duration", "flown_distance", "tow")
+
+
+@query("impute_linear", KEPT_SQL)
 def impute_linear(spark, sf):
     before = gappy(spark, sf)
     after = ml.impute_by_model(before, method="linear", k=3)
-    gaps = before.select("flight_id", *[F.col(c).isNull().alias(f"_{c}") for c in ("climb_range", "mean_speed")])
-    joined = after.join(gaps, "flight_id")
-    complete = F.col("climb_range").isNotNull() & F.col("mean_speed").isNotNull()
-    return joined.select(
-        "flight_id", "flight_duration", "flown_distance", "tow",
-        *[F.when(~F.col(f"_{c}"), F.col(c)).alias(c) for c in ("climb_range", "mean_speed")], complete.alias("complete"),
-    )
+    return known_and_complete(before, after, ("climb_range", "mean_speed"), "flight_duration", "flown_distance", "tow")
 
 
 @query("impute_median", """
@@ -628,15 +658,20 @@ def pipe_assemble(spark, sf):
     return chosen.withColumns({c: F.round(c, 7) + F.lit(0.0) for c in _SUMMED})
 
 
-@query("pipe_assemble_imputed")
+IMPUTED = ("m_tow", "great_circle_distance_km", "climb_range")
+
+
+@query("pipe_assemble_imputed", "SELECT flight_id, round(m_tow, 3) + 0e0 AS m_tow, round(great_circle_distance_km, 3) + 0e0 AS great_circle_distance_km,"
+       " round(climb_range, 3) + 0e0 AS climb_range, true AS complete FROM assembled")
 def pipe_assemble_imputed(spark, sf):
-    out = flows.assemble(
-        views.flights(spark, sf), flows.flight_feature_flow(blocks.enriched(spark, sf), FX),
-        flows.climb_feature_flow(blocks.stored_tracks(spark, sf), views.flights(spark, sf).select("flight_id"), FX),
-        views.types(spark), views.airports(spark, sf), impute="linear",
-        impute_columns=["m_tow", "great_circle_distance_km", "climb_range"],
+    parts = (
+        views.flights(spark, sf), materialise(flows.flight_feature_flow(blocks.enriched(spark, sf), FX), "features"),
+        materialise(flows.climb_feature_flow(blocks.stored_tracks(spark, sf), views.flights(spark, sf).select("flight_id"), FX), "climb_features"),
+        views.types(spark), views.airports(spark, sf),
     )
-    return rounded(out.select("flight_id", "m_tow", "great_circle_distance_km", "climb_range"), 3)
+    before = flows.assemble(*parts, impute=None)
+    after = flows.assemble(*parts, impute="linear", impute_columns=IMPUTED)
+    return rounded(known_and_complete(before, after, IMPUTED), 3)
 
 
 block("model_input", """

@@ -188,8 +188,9 @@ def rmse_flow(preds: DataFrame, scored: DataFrame, key: str = "flight_id") -> Da
 
 
 def publish(predictions: DataFrame, submissions: DataFrame, folder: str, name: str = "model", features: int = 0) -> None:
-    """Write what a training run produced: scored predictions per model and whole-number submissions."""
-    tables.write_predictions(predictions, f"{folder}/predictions", name, features)
+    """Write what a training run produced: scored predictions per model and submissions, all in whole numbers."""
+    scored = predictions.withColumns({c: F.bround(c, 0) for c in ("tow", "tow_pred")})
+    tables.write_predictions(scored, f"{folder}/predictions", name, features)
     whole = submissions.select("flight_id", "model_id", "aircraft_type", F.col("tow").cast("bigint").alias("tow_pred"))
     tables.write_csv(whole, f"{folder}/submissions")
 
