@@ -16,13 +16,14 @@ from trackmill.plans.blocks import FX
 from trackmill.plans.catalog_flights import CODED, SPLIT_SQL, factorize_sql
 from trackmill.plans.catalog_samples import (
     FIXED_STEP_SQL,
+    SPAN_SQL,
     band_sql,
+    circular_sql,
     climb_range_sql,
     feature_digits,
     feature_sql,
     outlier_sql,
     phase_sql,
-    resample_sql,
     us,
 )
 from trackmill.plans.registry import block, query, rounded, rounded_sql
@@ -491,13 +492,13 @@ _GRID = ("altitude", "vertical_rate", "groundspeed", "track", "u_component_of_wi
 
 block("pre_known", """
   SELECT t.* FROM tracks t WHERE t.flight_id IN (SELECT flight_id FROM flights)""")
-block("pre_filtered", outlier_sql("pre_known", {"altitude": 7, "vertical_rate": 7}))
+block("pre_filtered", outlier_sql("pre_known", flows.FILTER_WINDOWS))
 block("pre_kept", """
   SELECT * FROM pre_filtered WHERE flight_id IN (
     SELECT flight_id FROM pre_filtered GROUP BY flight_id HAVING count(*) >= 10 AND quantile_cont(altitude, 0.8) >= 10000)""")
-block("pre_grid", resample_sql("pre_kept", FIXED_STEP_SQL.replace("600000000", "40000000"), "1", _GRID, ()))
+block("pre_grid", circular_sql("pre_kept", FIXED_STEP_SQL, "1", _GRID, "track"))
 block("pre_grid_timed", "SELECT * EXCLUDE (grid_index), make_timestamp(us) AS event_time FROM pre_grid")
-block("pre_even", resample_sql("pre_grid_timed", "greatest(1, (max(epoch_us(event_time)) - min(epoch_us(event_time))))", "49", _GRID, ()))
+block("pre_even", circular_sql("pre_grid_timed", f"greatest(1, {SPAN_SQL})", "499", _GRID, "track"))
 block("pre_aired", """
   SELECT *, make_timestamp(us) AS event_time, grid_index AS seq,
      sqrt(pow(groundspeed * 0.514444e0 * sin(radians(track)) - u_component_of_wind, 2)
@@ -524,7 +525,6 @@ SELECT flight_id, grid_index, phase, cruise, label, altitude, tas, airdist, thru
 def pipe_preprocess(spark, sf):
     out = flows.preprocess(
         views.samples(spark, sf), views.flights(spark, sf), views.regimes(spark), views.fuel(spark), FX,
-        windows={"altitude": 7, "vertical_rate": 7}, grid_points=40, even_points=50, block=32,
     )
     return rounded(out.select(
         "flight_id", "grid_index", "phase", "cruise", "label", "altitude", "tas", "airdist", "thrust", "fuelflow", "mass_loss"
@@ -562,7 +562,7 @@ def smooth_sql(c: str, h: int) -> str:
 block("fine_kept", """
   SELECT * FROM pre_known WHERE flight_id IN (
     SELECT flight_id FROM pre_known GROUP BY flight_id HAVING count(*) >= 10 AND quantile_cont(altitude, 0.8) >= 10000)""")
-block("fine_grid", resample_sql("fine_kept", "1800000000", "1", _GRID, ()))
+block("fine_grid", circular_sql("fine_kept", "1800000000", "1", _GRID, "track"))
 block("fine_aired", blocks.BLOCK_AIRED.replace("SELECT *,", "SELECT *, make_timestamp(us) AS event_time, grid_index AS seq,").replace("tracks", "fine_grid"))
 block("fine_fuzzy", phase_sql("fine_aired"))
 block("fine_numbered", """

@@ -142,6 +142,13 @@ def resample_sql(source: str, num: str, den: str, numeric, carried=("phase",)) -
 {joins}"""
 
 
+def circular_sql(source: str, num: str, den: str, numeric, angle: str) -> str:
+    """``resample_sql`` of numbers only, with one angle blended on the circle."""
+    parts = f"(SELECT *, sin(radians({angle})) AS {angle}_sin, cos(radians({angle})) AS {angle}_cos FROM {source})"
+    plain = resample_sql(parts, num, den, [*[c for c in numeric if c != angle], f"{angle}_sin", f"{angle}_cos"], ())
+    return f"SELECT * EXCLUDE ({angle}_sin, {angle}_cos), (degrees(atan2({angle}_sin, {angle}_cos)) + 36e1) % 36e1 AS {angle} FROM ({plain})"
+
+
 SPAN_SQL = "(max(epoch_us(event_time)) - min(epoch_us(event_time)))"
 FIXED_STEP_SQL = f"greatest(1, {SPAN_SQL} // 600000000) * 1000000"
 block("grid_fixed", resample_sql("tracks", FIXED_STEP_SQL, "1", GRID_COLUMNS))

@@ -36,6 +36,9 @@ SAMPLE_NUMBERS = (
     "latitude", "longitude", "temperature", "specific_humidity",
 )
 
+#: Angles among them, which are blended on the circle.
+ANGLES = ("track",)
+
 #: Rows in the filter's default windows, per column.
 FILTER_WINDOWS = {"altitude": 17, "vertical_rate": 5, "groundspeed": 9, "track": 17}
 
@@ -60,18 +63,18 @@ def _forces(df: DataFrame, flights: DataFrame, regimes: DataFrame, fuel: DataFra
 def preprocess(samples: DataFrame, flights: DataFrame, regimes: DataFrame, fuel: DataFrame, s: Series,
                windows: Mapping[str, int] | None = None, grid_points: int = 600, even_points: int = 500,
                min_rows: int = 10, floor: float = 10_000.0, block: int = 2048,
-               numbers: Sequence[str] = SAMPLE_NUMBERS) -> DataFrame:
+               numbers: Sequence[str] = SAMPLE_NUMBERS, phase_bucket_s: int | None = 60) -> DataFrame:
     """Raw samples of known flights to evenly spaced, enriched, phase-labelled samples.
 
-    Stages are written where the next step reads its input more than once.
+    Phases are those of a row's time bucket (``phase_bucket_s`` must divide the slice).  Stages are written where the next step reads its input more than once.
     """
     tracks = _known_tracks(samples, flights, s)
     filtered = materialise(unsliced(outlier_filter(tracks, s, windows or FILTER_WINDOWS, block)), "clean")
     kept = unsliced(cleaning.drop_short_entities(filtered, s, min_rows, floor=floor))
     even = Series(s.key, s.time, ("grid_index",), s.slice_s)
-    grid = materialise(resample_fixed(kept, s, numbers, points=grid_points), "grid")
-    spaced = materialise(_airspeed(resample_n(grid, even, numbers, n=even_points)), "spaced")
-    labelled = phase_label(spaced, even, bucket_s=None)
+    grid = materialise(resample_fixed(kept, s, numbers, points=grid_points, circular=ANGLES), "grid")
+    spaced = materialise(_airspeed(resample_n(grid, even, numbers, n=even_points, circular=ANGLES)), "spaced")
+    labelled = phase_label(spaced, even, bucket_s=phase_bucket_s)
     labelled = labelled.withColumn("label", thrust_regime(F.col("phase")))
     forced = _forces(labelled, flights, regimes, fuel, even)
     return unsliced(apply_steps(
@@ -82,13 +85,14 @@ def preprocess(samples: DataFrame, flights: DataFrame, regimes: DataFrame, fuel:
 
 def climb_preprocess(samples: DataFrame, flights: DataFrame, regimes: DataFrame, fuel: DataFrame, s: Series,
                      step_s: int = 1, min_rows: int = 10, floor: float = 10_000.0,
-                     wide: int = 300, narrow: int = 100, numbers: Sequence[str] = SAMPLE_NUMBERS) -> DataFrame:
+                     wide: int = 300, narrow: int = 100, numbers: Sequence[str] = SAMPLE_NUMBERS,
+                     phase_bucket_s: int | None = 60) -> DataFrame:
     """Climb samples on a fine grid, smoothed; airspeed and distance are computed within the climb."""
     tracks = _known_tracks(samples, flights, s)
     kept = unsliced(cleaning.drop_short_entities(tracks, s, min_rows, floor=floor))
     even = Series(s.key, s.time, ("grid_index",), s.slice_s)
-    grid = materialise(_airspeed(resample_fixed(kept, s, numbers, step_s=step_s)), "climb_grid")
-    labelled = phase_label(grid, even, bucket_s=None)
+    grid = materialise(_airspeed(resample_fixed(kept, s, numbers, step_s=step_s, circular=ANGLES)), "climb_grid")
+    labelled = phase_label(grid, even, bucket_s=phase_bucket_s)
     complete = labelled.dropna(subset=["altitude", "vertical_rate"]).withColumn("raw_phase", F.col("phase"))
     smooth = unsliced(smooth_climb(complete, even, wide=wide, narrow=narrow))
     climb = materialise(smooth.filter(F.col("raw_phase") == "CLIMB").drop("raw_phase"), "climb")
