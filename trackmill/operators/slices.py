@@ -4,7 +4,7 @@ An entity (a flight) may hold a large part of all rows, so a window over the who
 end in one task.  Every ordered operator therefore works on *(entity, time slice)* groups: the
 rows of an entity inside one fixed stretch of time.  Once exact repeats of an instant are removed
 (``dedup_first``, which combines before the shuffle) a slice holds at most ``slice length x clock
-rate`` rows.  What a slice needs to know about the others - its predecessor's last row, a running
+rate`` rows; where the clock may be fast for a long time, ``Series.max_rows`` cuts slices by their rows as well.  What a slice needs to know about the others - its predecessor's last row, a running
 total, the entity's extent - is a *carry*: slices are aggregated (combined map-side) to one small
 row each, windows run over those rows, and the result is joined back on (entity, slice).
 
@@ -23,18 +23,24 @@ from trackmill.functions.timing import MICROS, micros
 
 SLICE = "_slice"
 
+#: Cells of time that a slice is cut into to find where its rows lie.
+CELLS = 4096
+
 
 @dataclass(frozen=True)
 class Series:
     """Which columns make up a time series, and how long a slice of it is.
 
     ``tie`` orders rows of the same instant; together with ``time`` it should be unique per entity.
+    With ``max_rows`` a slice of more rows is cut, at the cost of one more exchange, into parts of at most so many and
+    what falls into one more of its ``CELLS`` cells of time.
     """
 
     key: str = "flight_id"
     time: str = "event_time"
     tie: tuple[str, ...] = ("seq",)
-    slice_s: int = 6 * 3600
+    slice_s: int = 900
+    max_rows: int | None = None
 
     @property
     def order(self) -> tuple[str, ...]:
@@ -72,7 +78,23 @@ def sliced(df: DataFrame, s: Series) -> DataFrame:
     if SLICE in df.columns:
         return df
     us = micros(s.time)
-    return df.withColumn(SLICE, us - F.pmod(us, F.lit(s.slice_s * MICROS)))
+    out = df.withColumn(SLICE, us - F.pmod(us, F.lit(s.slice_s * MICROS)))
+    return out if s.max_rows is None else _cut(out, s)
+
+
+def _cut(df: DataFrame, s: Series) -> DataFrame:
+    """Cut slices of more than ``max_rows`` rows where the running count of their cells passes a multiple of it."""
+    width = max(1, s.slice_s * MICROS // CELLS)
+    past = micros(s.time) - F.col(SLICE)
+    rows = df.withColumn("_cell", F.col(SLICE) + past - F.pmod(past, F.lit(width)))
+    counts = rows.groupBy(*s.group, "_cell").agg(F.count(F.lit(1)).alias("_in_cell"))
+    # Windows over the cells of a slice, not over its rows.
+    ahead = F.sum("_in_cell").over(s.in_slice().orderBy("_cell")) - F.col("_in_cell")
+    dense = counts.withColumn("_in_slice", F.sum("_in_cell").over(s.in_slice())).filter(F.col("_in_slice") > s.max_rows)
+    parts = dense.withColumn("_part", F.floor(ahead / s.max_rows))
+    starts = parts.withColumn("_from", F.min("_cell").over(Window.partitionBy(*s.group, "_part"))).select(s.key, "_cell", "_from")
+    cut = rows.join(starts, [s.key, "_cell"], "left").withColumn(SLICE, F.coalesce("_from", SLICE))
+    return cut.select(*df.columns)
 
 
 def unsliced(df: DataFrame) -> DataFrame:

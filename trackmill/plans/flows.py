@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,7 +72,7 @@ def preprocess(samples: DataFrame, flights: DataFrame, regimes: DataFrame, fuel:
     tracks = _known_tracks(samples, flights, s)
     filtered = materialise(unsliced(outlier_filter(tracks, s, windows or FILTER_WINDOWS, block)), "clean")
     kept = unsliced(cleaning.drop_short_entities(filtered, s, min_rows, floor=floor))
-    even = Series(s.key, s.time, ("grid_index",), s.slice_s)
+    even = replace(s, tie=("grid_index",))
     grid = materialise(resample_fixed(kept, s, numbers, points=grid_points, circular=ANGLES), "grid")
     spaced = materialise(_airspeed(resample_n(grid, even, numbers, n=even_points, circular=ANGLES)), "spaced")
     labelled = phase_label(spaced, even, bucket_s=phase_bucket_s)
@@ -90,7 +91,7 @@ def climb_preprocess(samples: DataFrame, flights: DataFrame, regimes: DataFrame,
     """Climb samples on a fine grid, smoothed; airspeed and distance are computed within the climb."""
     tracks = _known_tracks(samples, flights, s)
     kept = unsliced(cleaning.drop_short_entities(tracks, s, min_rows, floor=floor))
-    even = Series(s.key, s.time, ("grid_index",), s.slice_s)
+    even = replace(s, tie=("grid_index",))
     grid = materialise(_airspeed(resample_fixed(kept, s, numbers, step_s=step_s, circular=ANGLES)), "climb_grid")
     labelled = phase_label(grid, even, bucket_s=phase_bucket_s)
     complete = labelled.dropna(subset=["altitude", "vertical_rate"]).withColumn("raw_phase", F.col("phase"))
