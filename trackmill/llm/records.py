@@ -90,7 +90,7 @@ class _Bytes:
 
 
 def _uri(folder: str) -> str:
-    return folder if "://" in folder else f"file://{os.path.abspath(folder)}"
+    return folder if "://" in folder else f"file://{os.path.abspath(folder.removeprefix('file:'))}"
 
 
 def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
