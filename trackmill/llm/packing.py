@@ -1,12 +1,14 @@
 """Packing along a space-filling curve.
 
-Each document becomes ids with an end id, and a vector: its ids hashed to ``BUCKETS`` counts and those projected to three
-normal directions.  The directions, cut into 1024 steps each, give a Hilbert key; documents are range-sorted by it and
-laid end to end, and the line of ids is cut every ``size``.  A sequence thus holds whole documents and pieces of
+Each document becomes ids with an end id, and a vector: its ids hashed to ``BUCKETS`` shares and those projected to three
+normal directions.  Shares do not grow with a text, so long and short ones are compared alike.  Each direction is
+centred and scaled by its mean and deviation over all documents and cut into 1024 steps, which gives a Hilbert key; documents are
+range-sorted by it and laid end to end, and the line of ids is cut every ``size``.  A sequence thus holds whole documents and pieces of
 documents that lie close together on the curve.  Only what is left at the very end falls short, and that rest is cut into powers
 of two, so no id of padding is ever needed.
 
-Scale: texts are encoded once into a written table.  Only (row, key, length) is range-sorted, to get each document's place on the
+Scale: texts are encoded once into a written table.  One aggregation of it gives the number of ids, the means and the
+deviations (7 numbers).  Only (row, key, length) is range-sorted, to get each document's place on the
 line: a running sum inside range partitions plus the sum of earlier partitions, one row per partition.  Each shuffle
 goes by row number or key with ties spread by row number, so no source or group of copies meets in one task.
 
@@ -31,15 +33,21 @@ from trackmill.session import materialise
 BUCKETS = 256
 DIMENSIONS = 3
 BITS = 10
+#: Columns of a document's projections.
+PLACES = [f"_llm_place_{k}" for k in range(DIMENSIONS)]
 #: Rows whose ids a task holds before it passes them on.
 SLICE = 1000
 
 
-def directions(vocabulary: int, seed: int = 7) -> np.ndarray:
-    """For each id, the projection of its hash bucket: (vocabulary, DIMENSIONS)."""
+def hash_buckets(vocabulary: int, seed: int = 7) -> np.ndarray:
+    """For each id, its hash bucket."""
     mixed = (np.arange(vocabulary, dtype=np.uint64) + np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15)
-    bucket = (mixed >> np.uint64(40)).astype(np.int64) % BUCKETS
-    return np.random.default_rng(seed).standard_normal((BUCKETS, DIMENSIONS))[bucket]
+    return (mixed >> np.uint64(40)).astype(np.int64) % BUCKETS
+
+
+def directions(seed: int = 7) -> np.ndarray:
+    """For each hash bucket, its projection: (BUCKETS, DIMENSIONS)."""
+    return np.random.default_rng(seed).standard_normal((BUCKETS, DIMENSIONS))
 
 
 def hilbert_key(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -73,35 +81,51 @@ def hilbert_key(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-def curve_cell(ids: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Cell of a document's ids: its mean direction, scaled by the root of its length, cut at +-4 deviations."""
-    z = table[ids].sum(axis=0) / np.sqrt(max(1, len(ids)))
+def place(ids: np.ndarray, bucket: np.ndarray, projection: np.ndarray) -> np.ndarray:
+    """Mean direction of a document's ids: their shares of the hash buckets, projected (no ids: zeros)."""
+    return np.bincount(bucket[ids], minlength=BUCKETS) @ projection / max(1, len(ids))
+
+
+def curve_cells(places: np.ndarray, mean: np.ndarray, deviation: np.ndarray) -> np.ndarray:
+    """Cells of rows of projections, cut at +-4 deviations from the mean (a deviation of 0 counts as 1)."""
+    z = (places - mean) / np.where(deviation > 0, deviation, 1.0)
     return np.clip((z + 4) / 8 * (1 << BITS), 0, (1 << BITS) - 1).astype(np.int64)
 
 
 def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Written table of ``_llm_row``, the id, ``_llm_ids`` (packed ids with the end id), ``_llm_n`` and ``_llm_key``."""
+    """Written table of ``_llm_row``, the id, ``_llm_ids`` (packed ids with the end id), ``_llm_n`` and the projections ``PLACES``."""
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(tokenizer)
-        table = directions(1 << 16 if enc.dtype.itemsize == 2 else enc.tokenizer.get_vocab_size() + 1)
+        bucket, projection = hash_buckets(1 << 16 if enc.dtype.itemsize == 2 else enc.tokenizer.get_vocab_size() + 1), directions()
         end = np.array([end_id], dtype=enc.dtype).tobytes()
         for whole in batches:
             for at in range(0, len(whole), SLICE):
                 batch = whole.iloc[at:at + SLICE].copy()
                 packed = [enc.encode(t or "") for t in batch.pop("_llm_text")]
                 batch["_llm_n"] = [len(p) // enc.dtype.itemsize + 1 for p in packed]
-                cells = [curve_cell(enc.ids(p), table) for p in packed]
-                batch["_llm_key"] = hilbert_key(np.array(cells, dtype=np.int64).reshape(-1, DIMENSIONS))
+                batch[PLACES] = np.array([place(enc.ids(p), bucket, projection) for p in packed]).reshape(-1, DIMENSIONS)
                 batch["_llm_ids"] = [p + end for p in packed]
                 yield batch
 
     kind = docs.schema[id_col].dataType.simpleString()
     picked = docs.select(F.col(f"`{id_col}`").alias("_llm_id"), F.col(f"`{text_col}`").alias("_llm_text"))
-    done = picked.mapInPandas(encode, f"_llm_id {kind}, _llm_n bigint, _llm_key bigint, _llm_ids binary")
+    places = ", ".join(f"{c} double" for c in PLACES)
+    done = picked.mapInPandas(encode, f"_llm_id {kind}, _llm_n bigint, {places}, _llm_ids binary")
     return written(done.withColumn("_llm_row", F.monotonically_increasing_id()), "encoded")
 
 
+def keyed(rows: DataFrame, mean: np.ndarray, deviation: np.ndarray) -> DataFrame:
+    """``_llm_row``, ``_llm_n`` and the Hilbert key ``_llm_key`` of each row of ``encoded``."""
+
+    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch["_llm_key"] = hilbert_key(curve_cells(batch[PLACES].to_numpy(), mean, deviation))
+            yield batch[["_llm_row", "_llm_n", "_llm_key"]]
+
+    return rows.select("_llm_row", "_llm_n", *PLACES).mapInPandas(keys, "_llm_row bigint, _llm_n bigint, _llm_key bigint")
+
+
 def line_starts(rows: DataFrame, *order: str) -> DataFrame:
     """``_llm_row`` and ``_llm_start``: the sum of ``_llm_n`` of all rows before it in the order of ``order`` and the row number.
 
@@ -152,8 +176,10 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 1, id_
     A sequence is its pieces in the order of ``offset``.  Documents of one sequence are neighbours on the curve.
     """
     rows = encoded(docs, tokenizer, end_id, id_col, text_col)
-    starts = line_starts(rows, "_llm_key")
-    total = rows.agg(F.sum("_llm_n")).first()[0] or 0
+    total, *spread = rows.agg(F.sum("_llm_n"), *map(F.avg, PLACES), *map(F.stddev_pop, PLACES)).first()
+    total = total or 0
+    mean, deviation = np.array([x or 0.0 for x in spread]).reshape(2, DIMENSIONS)
+    starts = line_starts(keyed(rows, mean, deviation), "_llm_key")
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
