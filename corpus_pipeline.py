@@ -16,8 +16,8 @@ def quality_rule_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the discriminant predicts to be good; it learns from the labels of documents that are still there."""
-    return quality_model.kept_documents(docs, table(spark, sf_dir, "labels"))
+    """Documents that the discriminant predicts to be good; it learns from all labelled documents, as the rules leave hardly a bad one."""
+    return quality_model.kept_documents(docs, table(spark, sf_dir, "labels"), lessons=table(spark, sf_dir, "documents"))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ log scale.  Per class the mean and a shrunken covariance are estimated from sums
 up; a score is the logistic of the difference of the two Gaussian log densities, whose Mahalanobis terms are solved with
 Cholesky factors computed once at the fit.
 
-Scale: one pass over the texts writes the vectors (some 150 bytes a text); learning is one aggregation of those of labelled rows,
+Scale: one pass over the texts (and one over those to learn from, if they are others) writes the vectors (some 150 bytes a text); learning is one aggregation of those of labelled rows,
 all of them, and sends 2 * (1 + d + d * d) sums to the driver; scoring is a map.  Nothing depends on a key's frequency.
 
 Defined cases: a null text counts as empty and is scored like any other; ids that are null or have no label teach
@@ -122,15 +122,17 @@ def fit(labelled: DataFrame, shrinkage: float = 0.1) -> Discriminant:
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = 0.3,
-          may_learn: Column | None = None) -> DataFrame:
+          may_learn: Column | None = None, lessons: DataFrame | None = None) -> DataFrame:
     """One row per document: id, ``held_out``, ``score`` and ``predicted`` (1 from ``threshold`` on).
 
-    Only labelled rows for which ``may_learn`` holds are learnt from (default: those that ``held_out`` does not keep back).
+    Only labelled rows of ``lessons`` (default: of ``docs``) for which ``may_learn`` holds are learnt from (default: those that
+    ``held_out`` does not keep back).  Where ``docs`` has been filtered, ``lessons`` should be the table before that.
     """
     vectors = written(text_vectors(docs, id_col, text_col), "text-vectors")
     learn = ~held_out(F.col(f"`{id_col}`")) if may_learn is None else may_learn
     known = any_value_of(labels, id_col, label_col).withColumnRenamed(label_col, "_llm_label")
-    model = fit(vectors.where(learn).join(known, id_col))
+    taught = vectors.where(learn) if lessons is None else written(text_vectors(lessons.where(learn), id_col, text_col), "lesson-vectors")
+    model = fit(taught.join(known, id_col))
 
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -144,7 +146,10 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def kept_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are predicted good, with their columns (rows that share an id stay if any of them is)."""
-    good = score(docs, labels, id_col, text_col).where("predicted = 1").select(F.col(f"`{id_col}`").alias("_llm_id"))
+def kept_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lessons: DataFrame | None = None) -> DataFrame:
+    """The rows of ``docs`` that are predicted good, with their columns (rows that share an id stay if any of them is).
+
+    The model learns from ``lessons``, as in ``score``.
+    """
+    good = score(docs, labels, id_col, text_col, lessons=lessons).where("predicted = 1").select(F.col(f"`{id_col}`").alias("_llm_id"))
     return docs.join(good, F.col(f"`{id_col}`").eqNullSafe(F.col("_llm_id")), "left_semi")
