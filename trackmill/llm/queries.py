@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackmill.llm import fingerprints, mixing, near_dedup, packing, perspectives, quality_model, quality_rules, records, toxicity, url_filter
+from trackmill.llm import (
+    divergence, fingerprints, mixing, near_dedup, packing, perspectives, quality_model, quality_rules, records, toxicity, url_filter)
 from trackmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,3 +84,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_perspective_rotation", perspectives.oracle())
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perspectives.rotate(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_source_divergence", divergence.oracle())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
