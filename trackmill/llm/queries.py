@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackmill.llm import (
-    divergence, fingerprints, mixing, near_dedup, packing, perspectives, quality_model, quality_rules, records, toxicity, url_filter)
+    divergence, fingerprints, mixing, near_dedup, packing, perspectives, quality_model, quality_rules, records, toxicity, url_filter, whitening)
 from trackmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +89,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_source_divergence", divergence.oracle())
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query("op12_embedding_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
