@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackmill.llm import (
-    divergence, fingerprints, mixing, near_dedup, packing, perspectives, quality_model, quality_rules, records, toxicity, url_filter, whitening)
+    divergence, fingerprints, mixing, near_dedup, packing, perspectives, quality_model, quality_rules, records, suffix_dedup, toxicity, url_filter,
+    whitening)
 from trackmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +95,8 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_embedding_whitening")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op11_suffix_dedup")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(suffix_dedup.cut_out(table(spark, sf_dir, "documents")))
