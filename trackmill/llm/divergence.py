@@ -1,18 +1,18 @@
 """How far each source's use of words lies from its language's and from other sources', by iceberg prefix refinement.
 
 A language keeps the terms that at least ``threshold`` of its documents hold.  They are found level by level: the documents that
-hold a term with a given prefix are counted for prefixes of 3 bytes, prefixes below the threshold go with all their terms, and those that stay
-are extended to 6, 12, 24 bytes and so on, until every term left is complete.  A prefix is cut at bytes; a term shorter than the level
+hold a term with a given prefix are counted for prefixes of 4 bytes, prefixes below the threshold go with all their terms, and those that stay
+are extended to 8, 16, 32 bytes and so on, until every term left is complete.  A prefix is cut at bytes; a term shorter than the level
 ends in a zero byte, which no term holds, and is complete there.
 
-One pass over the texts writes, for each part of the input, its distinct (language, source, term, level) with documents and
-uses, where the level is the first at which a term differs from the one before it among its document's sorted terms.  A
-document thus counts once for every prefix: by the first of its terms that has it, and counts can be added up at any level.
+A pass over the texts writes, for each part of the input, its distinct (language, term, level) with the number of documents, where the level is the
+first at which no other term seen in the same document has the term's prefix.  A document thus counts once for every prefix, by one of
+its terms, and counts can be added up at any level.  A second pass counts the uses of the terms kept, by language and source.
 
-Scale: the pass adds up before anything is shuffled, so a word that all documents hold is one row per part.  Each level groups by
-prefix with partial sums.  What a level keeps reaches the next one as a bit table of fixed size (``BITS`` bits, broadcast); a prefix that passes by
-chance is counted as exactly as the others, so the table's size bears on cost alone.  Pairs of sources are summed in matrices per part of the
-terms, as the result has a row for each pair of sources in any case.
+Scale: both passes add up before anything is shuffled, so a word that all documents hold is one row per part.  Each level groups by
+prefix with partial sums.  What a level keeps reaches the next one as a bit table of fixed size (``BITS`` bits, broadcast), and so do the kept
+terms the second pass; what passes by chance is counted as exactly as the rest, and an exact join follows, so the table's size bears on cost alone.
+Pairs of sources are summed in matrices per part of the terms, as the result has a row for each pair of sources in any case.
 
 Defined cases: null text, language and source are ''; every row is a document, also a repeated one; a language without kept terms has
 its pairs with value 0 and no terms; an empty table gives no rows; other columns are ignored.
@@ -20,24 +20,26 @@ its pairs with value 0 and no terms; an empty table gives no rows; other columns
 
 from __future__ import annotations
 
-import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackmill.llm.common import written
 from trackmill.session import materialise
 
-TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-FIRST_LEVEL = 3
+#: What each byte of a text stands for: itself within a term (A-Z as a-z), and a blank between terms.
+_BYTES = bytes(b if b >= 0x80 or chr(b).islower() else b + 32 if chr(b).isupper() else 32 for b in range(256))
+FIRST_LEVEL = 4
 #: Size of the table that tells which prefixes a level has kept.
 BITS = 1 << 24
 #: Distinct rows that a task holds before it passes them on.
-HELD = 300_000
+HELD = 600_000
 #: Copies of the list of a language's sources, so that the terms of one language are joined in several tasks.
 SALTS = 32
 #: Cells of source pairs that a task holds before it passes them on.
@@ -45,55 +47,70 @@ CELLS = 2_000_000
 SCALE = 1_000_000_000
 PRIOR = 5
 
-_USES = "lang string, source string, term binary, level int, docs bigint, uses bigint"
-_DOC = 1 << 40
+_HASH_SEED = 42  # of Spark's xxhash64
+_SEEN = "lang string, term binary, level int, docs bigint"
+_USES = "lang string, source string, term binary, uses bigint"
 
 
 def level_length(level: int) -> int:
     return FIRST_LEVEL << level
 
 
-def _first_level(a: bytes, b: bytes) -> int:
-    """The first level at which two different terms have different prefixes."""
-    level, length = 0, FIRST_LEVEL
-    while a[:length] == b[:length]:
-        level, length = level + 1, length * 2
-    return level
+def terms_of(text: bytes) -> list[bytes]:
+    """All terms of a text in UTF-8: runs of ``[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]``, A-Z lower-cased."""
+    return text.translate(_BYTES).split()
 
 
-def term_uses(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """Written table of ``lang``, ``source``, ``term`` (bytes), ``level``, ``docs`` and ``uses``, added up within parts of the input."""
+def _columns(docs: DataFrame, **columns: str) -> DataFrame:
+    """The named columns as strings, null as ''; ``text`` as bytes."""
+    return docs.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).cast("binary" if n == "text" else "string").alias(n)
+                         for n, c in columns.items()])
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[tuple[str, str], dict[tuple[bytes, int], int]] = {}
-        size = 0
 
-        def flush() -> pd.DataFrame:
-            rows = [(lang, source, term, level, n // _DOC, n % _DOC) for (lang, source), group in held.items() for (term, level), n in group.items()]
-            return pd.DataFrame(rows, columns=["lang", "source", "term", "level", "docs", "uses"])
+def seen_terms(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """Written table of ``lang``, ``term`` (bytes), ``level`` and ``docs``, added up within parts of the input."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[dict[bytes, int]]] = {}
+
+        def deeper(term: bytes, prefixes: set[bytes], levels: list[dict[bytes, int]]) -> dict[bytes, int]:
+            """The counts of the term's level; its longer prefixes join the document's."""
+            level, length = 0, FIRST_LEVEL
+            while len(term) >= length and term[:length] in prefixes:
+                level, length = level + 1, 2 * length
+            while len(term) >= length:
+                prefixes.add(term[:length])
+                length *= 2
+            while len(levels) <= level:
+                levels.append(defaultdict(int))
+            return levels[level]
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for lang, levels in held.items():
+                for level, group in enumerate(levels):
+                    n = len(group)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * n, pa.string()), pa.array(list(group), pa.binary()), pa.array(np.full(n, level, np.int32)),
+                         pa.array(list(group.values()), pa.int64())], names=["lang", "term", "level", "docs"])
+            held.clear()
 
         for batch in batches:
-            for lang, source, text in zip(batch["lang"], batch["source"], batch["text"]):
-                found = Counter(TERM.findall(text.encode("utf-8", "surrogatepass").lower()))
-                group = held.setdefault((lang, source), {})
-                size -= len(group)
-                before = None
-                for term in sorted(found):
-                    # Most neighbours differ in their first bytes.
-                    level = 0 if before is None or term[:FIRST_LEVEL] != before[:FIRST_LEVEL] else _first_level(term, before)
-                    group[term, level] = group.get((term, level), 0) + _DOC + found[term]
-                    before = term
-                size += len(group)
-                if size > HELD:
-                    yield flush()
-                    held.clear()
-                    size = 0
-        if size:
-            yield flush()
-
-    picked = docs.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(n)
-                           for c, n in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))])
-    return written(picked.mapInPandas(count, _USES), "term-uses")
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
+                levels = held.setdefault(lang, [defaultdict(int)])
+                first = levels[0]
+                prefixes: set[bytes] = set()
+                for term in set(terms_of(text.as_py())):
+                    start = term[:FIRST_LEVEL]
+                    if start not in prefixes and len(term) < 2 * FIRST_LEVEL:
+                        prefixes.add(start)
+                        first[term] += 1
+                    else:
+                        deeper(term, prefixes, levels)[term] += 1
+                if sum(sum(map(len, x)) for x in held.values()) > HELD:
+                    yield from flush()
+        yield from flush()
+
+    return written(_columns(docs, lang=lang_col, text=text_col).mapInArrow(count, _SEEN), "seen-terms")
 
 
 def prefix(term: Column, length: int) -> Column:
@@ -120,9 +137,39 @@ def passing(rows: DataFrame, table: DataFrame, *cols: Column) -> DataFrame:
             .join(F.broadcast(table), "_llm_word").where(hit).drop("_llm_word", "_llm_at", "_llm_bits"))
 
 
-def kept_terms(uses: DataFrame, threshold: int = 30) -> DataFrame:
+def term_uses(docs: DataFrame, kept: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text") -> DataFrame:
+    """``lang``, ``source``, ``term`` and ``uses`` of kept terms and a few others that hash like them, added up within parts of the input."""
+    bits = np.zeros(BITS // 64, dtype=np.int64)
+    for word, value in bit_table(kept, "lang", "term").toPandas().itertuples(index=False):
+        bits[word] = value
+    likely = bits.astype("<i8").tobytes()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, str], Counter] = defaultdict(Counter)
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for (lang, source), group in held.items():
+                seed = xxhash.xxh64_intdigest(lang.encode(), _HASH_SEED)
+                places = [xxhash.xxh64_intdigest(term, seed) % BITS for term in group]
+                hits = [(term, n) for (term, n), place in zip(group.items(), places) if likely[place >> 3] >> (place & 7) & 1]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(hits), pa.string()), pa.array([source] * len(hits), pa.string()), pa.array([t for t, _ in hits], pa.binary()),
+                     pa.array([n for _, n in hits], pa.int64())], names=["lang", "source", "term", "uses"])
+            held.clear()
+
+        for batch in batches:
+            for lang, source, text in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), batch.column("text")):
+                held[lang, source].update(terms_of(text.as_py()))
+                if sum(map(len, held.values())) > HELD:
+                    yield from flush()
+        yield from flush()
+
+    return _columns(docs, lang=lang_col, source=source_col, text=text_col).mapInArrow(count, _USES)
+
+
+def kept_terms(seen: DataFrame, threshold: int = 30) -> DataFrame:
     """Written table of ``lang`` and ``term``: the terms in at least ``threshold`` documents of a language."""
-    kept, level, rows = None, 0, uses
+    kept, level, rows = None, 0, seen
     while True:
         length = level_length(level)
         counted = (rows.where(F.col("level") <= level).groupBy("lang", prefix(F.col("term"), length).alias("prefix"))
@@ -134,7 +181,7 @@ def kept_terms(uses: DataFrame, threshold: int = 30) -> DataFrame:
         still = counted.where(~ended)
         if still.isEmpty():
             return kept
-        rows = passing(uses.where(F.octet_length("term") >= length), materialise(bit_table(still, "lang", "prefix"), "prefix-bits"),
+        rows = passing(seen.where(F.octet_length("term") >= length), materialise(bit_table(still, "lang", "prefix"), "prefix-bits"),
                        F.col("lang"), prefix(F.col("term"), length))
         level += 1
 
@@ -183,14 +230,10 @@ def _distances(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def audit(docs: DataFrame, threshold: int = 30, top: int = 50,
           lang_col: str = "lang", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """``lang``, ``source``, ``part``, ``item``, ``value``, ``rank``: the ``top`` terms that a source uses more than its language, and its distance from each other source."""
-    uses = term_uses(docs, lang_col, source_col, text_col)
-    groups = docs.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(n)
-                           for c, n in ((lang_col, "lang"), (source_col, "source"))]).distinct()
-    kept = kept_terms(uses, threshold)
-    # The bit table thins the rows before the exact join.
-    likely = passing(uses, materialise(bit_table(kept, "lang", "term"), "term-bits"), F.col("lang"), F.col("term"))
-    used = likely.groupBy("lang", "source", "term").agg(F.sum("uses").alias("uses")).join(kept, ["lang", "term"])
-    used = materialise(used, "kept-uses")
+    kept = kept_terms(seen_terms(docs, lang_col, text_col), threshold)
+    groups = _columns(docs, lang=lang_col, source=source_col).distinct()
+    uses = term_uses(docs, kept, lang_col, source_col, text_col)
+    used = written(uses.groupBy("lang", "source", "term").agg(F.sum("uses").alias("uses")).join(kept, ["lang", "term"]), "kept-uses")
 
     totals = materialise(
         groups.join(used.groupBy("lang", "source").agg(F.sum("uses").alias("total")), ["lang", "source"], "left")
