@@ -14,8 +14,8 @@ two positions, some two cover samples inside them, at the same distance from the
    of partners, a few in a hundred of all, are dealt to buckets by their leading bytes and sorted to their full L bytes.
 3. Covered bytes are cut out, document by document.
 
-Blocks, surroundings and windows are compared by their leading eight bytes and fingerprints of 64 and 96 further bits; the result
-rests on the last of these, so two different windows pass for equal with a chance of 2 ** -96 a pair.
+Blocks, surroundings and windows are told apart by their bucket and fingerprints of 32, 64 and 96 bits.  Different blocks that pass for equal are
+held open, which decides nothing; different surroundings of seemingly equal blocks, and different windows, pass for equal with a chance of 2 ** -96 a pair in a bucket.
 
 Scale: documents are laid into chunks of about ``CHUNK`` bytes, each one row of a written table, and samples travel as packed arrays, one row a chunk
 and bucket.  Equal samples of a chunk are sent twice at most, so a text that is copied everywhere costs a bucket two samples a chunk.  Buckets are
@@ -30,12 +30,14 @@ may begin or end inside a character.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,7 +73,7 @@ DRAW, OFFERED = 50_000, 32
 REPEATED, OPEN, PARTNER = 1, 2, 3
 
 _LEAD = 8
-_CHUNKS = "chunk bigint, ids array<{kind}>, ends binary, text binary, offered binary"
+_CHUNKS = "chunk bigint, ids array<{kind}>, ends binary, n_bytes bigint, text binary, offered binary"
 _SENT = "bucket bigint, chunk bigint, kind int, keys binary, spans binary"
 _BACK = "chunk bigint, kind int, keys binary, spans binary"
 TEXT_KIND, KEYS_KIND, SPANS_KIND = 9, 0, 1
@@ -95,8 +97,8 @@ class Samples:
     at: np.ndarray
     begin: np.ndarray
     end: np.ndarray
-    lead: np.ndarray
-    block: np.ndarray
+    lead: np.ndarray | None
+    block: np.ndarray | None
     around: np.ndarray
 
 
@@ -108,8 +110,11 @@ def leading(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def samples(text: bytes, ends: np.ndarray, cover: Cover, length: int) -> Samples:
-    """Cover samples, in the order of their places, of all documents of a chunk that can hold a passage of ``length`` bytes."""
+def samples(text: bytes, ends: np.ndarray, cover: Cover, length: int, blocks: bool = True) -> Samples:
+    """Cover samples, in the order of their places, of all documents of a chunk that can hold a passage of ``length`` bytes.
+
+    Without ``blocks`` they have no ``lead`` and ``block``.
+    """
     width = length - cover.modulus + 1
     at, begin, end = [], [], []
     start = 0
@@ -126,10 +131,12 @@ def samples(text: bytes, ends: np.ndarray, cover: Cover, length: int) -> Samples
     at, begin, end = map(np.concatenate, (at, begin, end))
     digest = xxhash.xxh3_64_intdigest
     places = at.tolist()
-    block = np.fromiter((digest(text[p:p + width]) for p in places), np.uint64, len(places))
+    # Blocks need to differ within a bucket only: what passes for equal there is held open, not decided.
+    block = np.fromiter((digest(text[p:p + width]) & 0xFFFFFFFF for p in places), np.uint64, len(places)) if blocks else None
     # What lies before the sample is part of the key, so that one stretch of text around two samples gives two keys.
     around = np.fromiter((digest(text[b:e], p - b) for p, b, e in zip(places, begin.tolist(), end.tolist())), np.uint64, len(places))
-    return Samples(at, begin, end, leading(np.frombuffer(text, np.uint8), at), block, around)
+    lead = leading(np.frombuffer(text, np.uint8), at) if blocks else None
+    return Samples(at, begin, end, lead, block, around)
 
 
 def twice_at_most(order: np.ndarray, *keys: np.ndarray) -> np.ndarray:
@@ -157,7 +164,7 @@ def cut_points(cuts: np.ndarray, *keys: np.ndarray) -> np.ndarray:
 
 
 def chunks(docs: DataFrame, cover: Cover, length: int, size: int, id_col: str, text_col: str) -> DataFrame:
-    """Written table of chunks: ids, ends of documents (64-bit), joined texts, and a few sample keys for the cuts."""
+    """Written table of chunks: ids, ends of documents (64-bit), joined texts (packed), and a few sample keys for the cuts."""
 
     def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, texts, held, number = [], [], 0, TaskContext.get().partitionId() << 32
@@ -176,8 +183,8 @@ def chunks(docs: DataFrame, cover: Cover, length: int, size: int, id_col: str, t
                 pick = np.linspace(0, len(found.at) - 1, min(OFFERED, len(found.at))).astype(int)
                 offered = np.column_stack((found.lead, found.block, found.around))[pick].tobytes()
             columns = [pa.array([number], pa.int64()), pa.array([ids], pa.list_(id_type)), pa.array([ends.tobytes()], pa.binary()),
-                       pa.array([text], pa.binary()), pa.array([offered], pa.binary())]
-            return pa.RecordBatch.from_arrays(columns, names=["chunk", "ids", "ends", "text", "offered"])
+                       pa.array([len(text)], pa.int64()), pa.array([zstandard.compress(text, 1)], pa.binary()), pa.array([offered], pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["chunk", "ids", "ends", "n_bytes", "text", "offered"])
 
         for batch in batches:
             id_type = batch.schema.field(0).type
@@ -237,11 +244,11 @@ def send_samples(laid: DataFrame, cuts: np.ndarray, cover: Cover, length: int) -
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, ends, text in zip(*[batch.column(c) for c in ("chunk", "ends", "text")]):
-                found = samples(text.as_py(), np.frombuffer(ends.as_buffer(), np.int64), cover, length)
+                found = samples(zstandard.decompress(text.as_buffer()), np.frombuffer(ends.as_buffer(), np.int64), cover, length)
                 order = twice_at_most(np.lexsort((found.around, found.block, found.lead)), found.block, found.around)
                 lead, block, around = found.lead[order], found.block[order], found.around[order]
                 edges = [0, *cut_points(cuts, lead, block, around).tolist(), len(order)]
-                rows = [(b, chunk.as_py(), KEYS_KIND, block[i:j].tobytes() + around[i:j].tobytes(), None)
+                rows = [(b, chunk.as_py(), KEYS_KIND, around[i:j].tobytes() + block[i:j].astype(np.uint32).tobytes(), None)
                         for b, (i, j) in enumerate(zip(edges, edges[1:])) if j > i]
                 if rows:
                     yield _batch(rows, _SENT)
@@ -289,8 +296,19 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[int]
 
 
 def _dealt(sent: DataFrame) -> DataFrame:
+    """Rows by bucket, the buckets dealt out evenly in turn."""
     parts = max(1, int(sent.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return sent.repartition(parts, "bucket").sortWithinPartitions("bucket")
+    return sent.repartitionById(parts, F.pmod("bucket", F.lit(parts)).cast("int")).sortWithinPartitions("bucket")
+
+
+def _release(df: DataFrame) -> None:
+    """Have the driver's JVM collect what is out of use, so that Spark deletes the shuffle files of stages that are written.
+
+    What the first collection finds is let go of by Spark's cleaner, which frees the rest for the second.
+    """
+    for _ in range(2):
+        df.sparkSession.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def rank_samples(sent: DataFrame, cuts: np.ndarray) -> DataFrame:
@@ -298,13 +316,12 @@ def rank_samples(sent: DataFrame, cuts: np.ndarray) -> DataFrame:
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, who, keys in _buckets(batches):
-            halves = [np.frombuffer(k, np.uint64) for k in keys]
-            sizes = np.array([len(h) // 2 for h in halves])
-            block = np.concatenate([h[:n] for h, n in zip(halves, sizes)])
-            around = np.concatenate([h[n:] for h, n in zip(halves, sizes)])
+            sizes = np.array([len(k) // 12 for k in keys])
+            around = np.concatenate([np.frombuffer(k, np.uint64, n) for k, n in zip(keys, sizes)])
+            block = np.concatenate([np.frombuffer(k, np.uint32, n, 8 * n) for k, n in zip(keys, sizes)])
             owner = np.repeat(np.arange(len(who)), sizes)
             order = np.lexsort((around, block))
-            fate = fates(block[order], around[order], cuts[max(bucket - 1, 0):bucket + 1, 1])
+            fate = fates(block[order], around[order], cuts[max(bucket - 1, 0):bucket + 1, 1].astype(np.uint32))
             hit = np.flatnonzero(fate)
             hit = hit[np.argsort(owner[order[hit]], kind="stable")]
             around, fate, owner = around[order[hit]], fate[hit], owner[order[hit]]
@@ -335,12 +352,12 @@ def send_open(laid: DataFrame, ranked: DataFrame, cuts: np.ndarray, cover: Cover
         for chunk, row, back in _by_chunk(batches):
             if not back:
                 continue
-            text, ends = row["keys"].as_py(), np.frombuffer(row["spans"].as_buffer(), np.int64)
+            text, ends = zstandard.decompress(row["keys"].as_buffer()), np.frombuffer(row["spans"].as_buffer(), np.int64)
             around = np.concatenate([np.frombuffer(k, np.uint64) for _, k, _ in back])
             fate = np.concatenate([np.frombuffer(s, np.uint8) for _, _, s in back])
             order = np.lexsort((fate, around))
             around, fate = around[order], fate[order]
-            found = samples(text, ends, cover, length)
+            found = samples(text, ends, cover, length, blocks=False)
             # Of the two fates that a doubled key may have, the greater one.
             at = np.searchsorted(around, found.around, "right") - 1
             own = np.where((at >= 0) & (around[at] == found.around), fate[at], 0)
@@ -411,16 +428,18 @@ def cut_out(docs: DataFrame, min_length: int = MIN_LENGTH, cover: Cover = COVER,
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     laid = chunks(docs, cover, min_length, chunk, id_col, text_col)
-    size = laid.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    size = laid.agg(F.sum("n_bytes")).first()[0] or 0
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     # At least three buckets a task, so that tasks even out.
     cuts = bucket_cuts(laid, max(3 * parts, size * len(cover.residues) // cover.modulus // BUCKET))
     ranked = materialise(rank_samples(send_samples(laid, cuts, cover, min_length), cuts), "ranks")
+    _release(docs)
     matched = materialise(match_open(send_open(laid, ranked, cuts, cover, min_length), len(cuts) + 1), "matches")
+    _release(docs)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, row, back in _by_chunk(batches):
-            text, ends = row["keys"].as_py(), np.frombuffer(row["spans"].as_buffer(), np.int64).tolist()
+            text, ends = zstandard.decompress(row["keys"].as_buffer()), np.frombuffer(row["spans"].as_buffer(), np.int64).tolist()
             begin, end = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for kind_, keys, spans in back:
                 if kind_ == SPANS_KIND:
