@@ -81,9 +81,12 @@ def hilbert_key(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-def place(ids: np.ndarray, bucket: np.ndarray, projection: np.ndarray) -> np.ndarray:
-    """Mean direction of a document's ids: their shares of the hash buckets, projected (no ids: zeros)."""
-    return np.bincount(bucket[ids], minlength=BUCKETS) @ projection / max(1, len(ids))
+def places(packed: list[np.ndarray], bucket: np.ndarray, projection: np.ndarray) -> np.ndarray:
+    """Mean direction of each document's ids: their shares of the hash buckets, projected (no ids: zeros)."""
+    sizes = np.array([len(ids) for ids in packed])
+    cells = np.repeat(np.arange(len(packed)) * BUCKETS, sizes) + bucket[np.concatenate(packed)]
+    counts = np.bincount(cells, minlength=len(packed) * BUCKETS).reshape(-1, BUCKETS)
+    return counts @ projection / np.maximum(sizes, 1)[:, None]
 
 
 def curve_cells(places: np.ndarray, mean: np.ndarray, deviation: np.ndarray) -> np.ndarray:
@@ -104,14 +107,14 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id"
                 batch = whole.iloc[at:at + SLICE].copy()
                 packed = [enc.encode(t or "") for t in batch.pop("_llm_text")]
                 batch["_llm_n"] = [len(p) // enc.dtype.itemsize + 1 for p in packed]
-                batch[PLACES] = np.array([place(enc.ids(p), bucket, projection) for p in packed]).reshape(-1, DIMENSIONS)
+                batch[PLACES] = places([enc.ids(p) for p in packed], bucket, projection)
                 batch["_llm_ids"] = [p + end for p in packed]
                 yield batch
 
     kind = docs.schema[id_col].dataType.simpleString()
     picked = docs.select(F.col(f"`{id_col}`").alias("_llm_id"), F.col(f"`{text_col}`").alias("_llm_text"))
-    places = ", ".join(f"{c} double" for c in PLACES)
-    done = picked.mapInPandas(encode, f"_llm_id {kind}, _llm_n bigint, {places}, _llm_ids binary")
+    doubles = ", ".join(f"{c} double" for c in PLACES)
+    done = picked.mapInPandas(encode, f"_llm_id {kind}, _llm_n bigint, {doubles}, _llm_ids binary")
     return written(done.withColumn("_llm_row", F.monotonically_increasing_id()), "encoded")
 
 
@@ -170,10 +173,12 @@ def cut(start: int, n: int, total: int, size: int) -> list[tuple[int, int, int,
     return out
 
 
-def pack(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text",
+         digest: bool = False) -> DataFrame:
     """One row per piece: id, ``start``, ``length``, ``doc_tokens``, ``sequence_id``, ``offset`` and ``ids`` (packed, little-endian).
 
-    A sequence is its pieces in the order of ``offset``.  Documents of one sequence are neighbours on the curve.
+    A sequence is its pieces in the order of ``offset``.  Documents of one sequence are neighbours on the curve.  With ``digest`` there is
+    ``ids_crc32`` in place of the ids, so that they need not leave the task that cuts them.
     """
     rows = encoded(docs, tokenizer, end_id, id_col, text_col)
     total, *spread = rows.agg(F.sum("_llm_n"), *map(F.avg, PLACES), *map(F.stddev_pop, PLACES)).first()
@@ -187,13 +192,15 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 1, id_
             for doc, n, ids, start in zip(batch["_llm_id"], batch["_llm_n"], batch["_llm_ids"], batch["_llm_start"]):
                 wide = len(ids) // n
                 for s, length, sequence, offset in cut(int(start), int(n), total, size):
-                    out.append((doc, s, length, int(n), sequence, offset, ids[s * wide:(s + length) * wide]))
-            yield pd.DataFrame(out, columns=["_llm_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
+                    piece = ids[s * wide:(s + length) * wide]
+                    out.append((doc, s, length, int(n), sequence, offset, wide_crc32(piece, wide) if digest else piece))
+            yield pd.DataFrame(out, columns=["_llm_id", "start", "length", "doc_tokens", "sequence_id", "offset", result.split()[0]])
 
+    result = "ids_crc32 bigint" if digest else "ids binary"
     kind = docs.schema[id_col].dataType.simpleString()
     joined = rows.select("_llm_row", "_llm_id", "_llm_n", "_llm_ids").join(starts, "_llm_row").drop("_llm_row")
     return joined.mapInPandas(
-        pieces, f"_llm_id {kind}, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary",
+        pieces, f"_llm_id {kind}, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, {result}",
     ).withColumnRenamed("_llm_id", id_col)
 
 
@@ -201,12 +208,3 @@ def wide_crc32(packed: bytes, wide: int) -> int:
     """Unsigned crc32 of packed ids as little-endian unsigned 32-bit integers."""
     return zlib.crc32(np.frombuffer(packed, dtype=f"<u{wide}").astype("<u4").tobytes())
 
-
-def with_crc(pieces: DataFrame) -> DataFrame:
-    """``pieces`` with ``ids_crc32`` (bigint) in place of ``ids``, computed by column batches."""
-
-    @F.pandas_udf("bigint")
-    def crc(ids: pd.Series, length: pd.Series) -> pd.Series:
-        return pd.Series([wide_crc32(i, len(i) // n if n else 2) for i, n in zip(ids, length)], dtype="int64")
-
-    return pieces.withColumn("ids_crc32", crc("ids", "length")).drop("ids")

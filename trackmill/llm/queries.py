@@ -54,12 +54,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.with_crc(packing.pack(table(spark, sf_dir, "documents"), tokenizer_file()))
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file(), digest=True)
 
 
 @query("op2_binary_records")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records.with_crc(records.round_trip(table(spark, sf_dir, "documents"), tokenizer_file()))
+    return records.round_trip(table(spark, sf_dir, "documents"), tokenizer_file(), digest=True)
 
 
 @query("op9_url_filter", url_filter.oracle())

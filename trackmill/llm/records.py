@@ -21,7 +21,6 @@ their texts; an empty table writes no shard and reads back empty; other columns
 
 from __future__ import annotations
 
-import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -89,13 +88,17 @@ class _Bytes:
         return out
 
 
-def _uri(folder: str) -> str:
-    return folder if "://" in folder else f"file://{os.path.abspath(folder.removeprefix('file:'))}"
+def _uri(spark: SparkSession, folder: str) -> str:
+    """The folder with its file system, which is Spark's default one where none is named."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    named = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    # pyarrow wants an authority, if only an empty one.
+    return named if "://" in named else named.replace(":", "://", 1)
 
 
 def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write shards of ``docs`` under ``folder``; a small written table with a row per shard: number, path, records, tokens, bytes per id."""
-    target = _uri(folder)
+    target = _uri(docs.sparkSession, folder)
 
     def save(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shard = TaskContext.get().partitionId()
@@ -132,8 +135,11 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2, id_col:
     return written(ordered.mapInPandas(save, SHARDS), "shards")
 
 
-def read(spark: SparkSession, shards: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """One row per record of the shards: id, ``start`` (token ids in all records before it), ``n_tokens``, ``ids`` (packed) and ``wide``."""
+def read(spark: SparkSession, shards: DataFrame, id_col: str = "doc_id", digest: bool = False) -> DataFrame:
+    """One row per record of the shards: id, ``start`` (token ids in all records before it), ``n_tokens``, ``ids`` (packed) and ``wide``.
+
+    With ``digest`` there is ``ids_crc32`` in place of ``ids`` and ``wide``, so that the ids need not leave the task that reads them.
+    """
     # One row per shard: their number is a setting, not the data.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     placed = shards.withColumn("_llm_start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
@@ -147,36 +153,28 @@ def read(spark: SparkSession, shards: DataFrame, id_col: str = "doc_id") -> Data
                     for payload in frames(f):
                         doc, null = struct.unpack_from(_HEAD, payload)
                         ids = payload[_HEAD_SIZE:]
-                        rows.append((None if null else doc, start, len(ids) // wide, ids, wide))
-                        start, held = start + len(ids) // wide, held + len(ids)
+                        what = (wide_crc32(ids, wide),) if digest else (ids, wide)
+                        rows.append((None if null else doc, start, len(ids) // wide, *what))
+                        start, held = start + len(ids) // wide, held + (50 if digest else len(ids))
                         if held > 8_000_000:
-                            yield _records(rows)
+                            yield _records(rows, columns)
                             rows, held = [], 0
                 if rows:
-                    yield _records(rows)
+                    yield _records(rows, columns)
 
+    columns = ["_llm_id bigint", "start bigint", "n_tokens bigint", *(["ids_crc32 bigint"] if digest else ["ids binary", "wide int"])]
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     spread = placed.select("shard", "path", "_llm_start", "wide").repartition(parts, "shard")
-    return spread.mapInPandas(load, "_llm_id bigint, start bigint, n_tokens bigint, ids binary, wide int").withColumnRenamed("_llm_id", id_col)
+    return spread.mapInPandas(load, ", ".join(columns)).withColumnRenamed("_llm_id", id_col)
 
 
-def _records(rows: list[tuple]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=["_llm_id", "start", "n_tokens", "ids", "wide"])
+def _records(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
+    out = pd.DataFrame(rows, columns=[c.split()[0] for c in columns])
     out["_llm_id"] = out["_llm_id"].astype("Int64")
     return out
 
 
-def with_crc(records: DataFrame) -> DataFrame:
-    """``records`` with ``ids_crc32`` in place of ``ids`` and ``wide``."""
-
-    @F.pandas_udf("bigint")
-    def crc(ids: pd.Series, wide: pd.Series) -> pd.Series:
-        return pd.Series([wide_crc32(i, w) for i, w in zip(ids, wide)], dtype="int64")
-
-    return records.withColumn("ids_crc32", crc("ids", "wide")).drop("ids", "wide")
-
-
-def round_trip(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
     """Write ``docs`` to fresh shards in the shared folder and read them back."""
     spark = docs.sparkSession
-    return read(spark, write(docs, tokenizer, fresh_path(spark, "records"), end_id, id_col, text_col), id_col)
+    return read(spark, write(docs, tokenizer, fresh_path(spark, "records"), end_id, id_col, text_col), id_col, digest)

@@ -16,8 +16,8 @@ from array import array
 
 import numpy as np
 
-#: Words, and as many parts of words, remembered by one Python worker: some 150 MB.
-REMEMBERED = 360_000
+#: Words, and as many other parts of texts at most, remembered by one Python worker: some 150 MB.
+REMEMBERED = 600_000
 
 _MARKS = string.punctuation
 _encoders: dict[str, Encoder] = {}
@@ -35,6 +35,31 @@ class _Letters(dict):
         return self[code]
 
 
+class _Whole(Exception):
+    """A text that has to go through the library whole."""
+
+
+class _Words(dict):
+    """Ids of words that follow a blank, each asked of the encoder once."""
+
+    def __init__(self, encoder: Encoder):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, word: str) -> bytes:
+        if word.isalpha():
+            x = self.encoder._letters(f" {word}")
+        elif not word or word[0].isspace() or word[-1].isspace():
+            raise _Whole
+        else:
+            x = self.encoder._word(f" {word}")
+        if len(self) < REMEMBERED:
+            self[word] = x
+        else:
+            self.encoder.unremembered += 1
+        return x
+
+
 class Encoder:
     """Ids of texts as little-endian bytes, 2 per id while the vocabulary has no more than 65,536 entries, else 4."""
 
@@ -54,7 +79,7 @@ class Encoder:
         self.model = self.tokenizer.model
         self.code = {2: "H", 4: "I"}[self.dtype.itemsize] if sys.byteorder == "little" else None
         self.letters = _Letters(ByteLevel(add_prefix_space=False, use_regex=False))
-        self.words: dict[str, bytes] = {}
+        self.words = _Words(self)
         self.parts: dict[str, bytes] = {}
         self.unremembered = 0
 
@@ -64,16 +89,18 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _part(self, text: str, letters: bool) -> bytes:
-        """One pre-token (``letters``: of letters, with or without a blank before them), or a short text."""
+    def _letters(self, text: str) -> bytes:
+        """A pre-token of letters, with or without a blank before them."""
+        # An ASCII letter stands for itself.
+        shown = self.letters[32] + text[1:] if text[0] == " " and text.isascii() else text.translate(self.letters)
+        ids = [t.id for t in self.model.tokenize(shown)]
+        return array(self.code, ids).tobytes() if self.code else self._pack(ids)
+
+    def _part(self, text: str) -> bytes:
+        """A short text, or marks."""
         x = self.parts.get(text)
         if x is None:
-            if letters:
-                # An ASCII letter stands for itself.
-                shown = self.letters[32] + text[1:] if text[0] == " " and text.isascii() else text.translate(self.letters)
-                x = array(self.code, [t.id for t in self.model.tokenize(shown)]).tobytes() if self.code else self._pack([t.id for t in self.model.tokenize(shown)])
-            else:
-                x = self._whole(text)
+            x = self._whole(text)
             if len(self.parts) < REMEMBERED:
                 self.parts[text] = x
             else:
@@ -84,11 +111,14 @@ class Encoder:
         """A word with the blank before it, if any; neither end is other white space."""
         body = text.rstrip(_MARKS)
         if body.lstrip(" ").isalpha():
-            return self._part(body, True) + (self._part(text[len(body):], False) if len(body) < len(text) else b"")
+            if len(body) == len(text):
+                return self._letters(text)
+            # The word without its marks is a word of its own.
+            return (self.words[body[1:]] if body[0] == " " and body[1] != " " else self._letters(body)) + self._part(text[len(body):])
         lines = text.split("\n")
         if len(lines) > 1 and all(x.strip() and x[-1:].strip() for x in lines) and all(x[0].strip() for x in lines[1:]):
             # A line end between non-blank characters is a pre-token of its own.
-            return self._part("\n", False).join([self._word(x) for x in lines])
+            return self._part("\n").join([self._word(x) for x in lines])
         return self._whole(text)
 
     def encode(self, text: str) -> bytes:
@@ -97,20 +127,14 @@ class Encoder:
         first, *rest = text.split(" ")
         if not first or first[-1].isspace():
             return self._whole(text)
-        got = list(map(self.words.get, rest))
-        if None in got:
-            for i in [k for k, x in enumerate(got) if x is None]:
-                word = rest[i]
-                if not word or word[0].isspace() or word[-1].isspace():
-                    return self._whole(text)
-                got[i] = x = self._word(f" {word}")
-                if len(self.words) < REMEMBERED:
-                    self.words[word] = x
-            if self.unremembered > 40 * REMEMBERED:  # the texts may have become others
-                self.words.clear()
-                self.parts.clear()
-                self.unremembered = 0
-        return self._word(first) + b"".join(got)
+        if self.unremembered > 40 * REMEMBERED:  # the texts may have become others
+            self.words.clear()
+            self.parts.clear()
+            self.unremembered = 0
+        try:
+            return self._word(first) + b"".join(map(self.words.__getitem__, rest))
+        except _Whole:
+            return self._whole(text)
 
     def ids(self, packed: bytes) -> np.ndarray:
         return np.frombuffer(packed, dtype=self.dtype)
