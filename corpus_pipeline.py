@@ -32,7 +32,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 2048 ids."""
-    return packing.with_crc(packing.pack(docs, tokenizer_file()))
+    return packing.pack(docs, tokenizer_file(), digest=True)
 
 
 STAGES = [
