@@ -1,4 +1,4 @@
-"""Escape hatch: user functions on the ordered rows of an entity, slice by slice."""
+"""Escape hatch: user functions on the ordered rows of an entity, slice by slice, with a say over the whole entity."""
 
 from __future__ import annotations
 
@@ -6,29 +6,41 @@ from collections.abc import Callable, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trackmill.operators.slices import Series, join_entity
+from trackmill.session import materialise
 
 
 def apply_per_entity(df: DataFrame, s: Series, functions: Sequence[Callable[[pd.DataFrame], pd.DataFrame | None]],
                      schema: str | T.StructType, about: Mapping[str, Column] | None = None) -> DataFrame:
-    """Run a chain of functions on each (entity, slice); ``None`` drops the slice.
+    """Run a chain of functions on each (entity, slice); one ``None`` from any slice drops the whole entity, an empty frame nothing but itself.
 
     Only for what the built-in operators cannot express.  A function sees the ordered rows of one slice as a pandas frame, never a whole
-    entity, so an entity of any size is spread over tasks.  What it must know of the whole entity is stated in ``about``: aggregates
-    over the entity's rows that become columns of every frame.
+    entity, so an entity of any size is spread over tasks: what looks over a slice's edge belongs into ``about``, aggregates
+    over the entity's rows that become columns of every frame.  The results are written once, with a mark for each slice that
+    drops its entity, and marked entities are left out when they are read.
     """
     order = list(s.order)
     names = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).names
     whole = df.groupBy(s.key).agg(*[c.alias(n) for n, c in about.items()]) if about else df.select(s.key).distinct()
 
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    drop, entity = "_drops", "_entity"
+    marked = T.StructType([*fields, T.StructField(entity, df.schema[s.key].dataType), T.StructField(drop, T.BooleanType())])
+
     def chain(rows: pd.DataFrame) -> pd.DataFrame:
+        of = rows[s.key].iloc[0]
         out: pd.DataFrame | None = rows.sort_values(order).reset_index(drop=True)
         for function in functions:
             out = function(out)
-            if out is None or out.empty:
-                return pd.DataFrame(columns=names)
-        return out
-
-    return join_entity(df, s, whole).groupBy(*s.group).applyInPandas(chain, schema)
+            if out is None:
+                return pd.DataFrame({**{n: [None] for n in names}, entity: [of], drop: [True]})
+            if out.empty:
+                return pd.DataFrame(columns=[*names, entity, drop])
+        return out.assign(**{entity: of, drop: False})[[*names, entity, drop]]
+
+    done = materialise(join_entity(df, s, whole).groupBy(*s.group).applyInPandas(chain, marked), "applied")
+    dropped = done.filter(drop).select(entity).distinct()
+    return done.filter(~F.col(drop)).join(dropped, done[entity].eqNullSafe(dropped[entity]), "left_anti").select(*names)

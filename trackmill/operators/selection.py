@@ -36,6 +36,21 @@ def rmse_by_group(preds: DataFrame, by: str = "aircraft_type", model: str = "mod
     )
 
 
+def error_report(preds: DataFrame, by: str = "aircraft_type", model: str = "model_id", part: str = "test",
+                 actual: str = "tow", predicted: str = "tow_pred") -> DataFrame:
+    """Errors at every level of model, type and part in one pass over the predictions.
+
+    One row per group: the three columns (NULL where all are taken together), ``level`` (the bits of the columns taken together, the model's
+    highest, which tells such a NULL from a value that is missing), ``n``, ``missing`` predictions, ``rmse``, ``bias`` and the ``worst``
+    error of the others.  Rows are added up before the shuffle, each once for every level.
+    """
+    sets = [[model, by, part], [model, by], [model, part], [by, part], [model], [by], []]
+    off = F.col(predicted) - F.col(actual)
+    return preds.groupingSets([[F.col(c) for c in one] for one in sets], model, by, part).agg(
+        F.grouping_id().cast("bigint").alias("level"), F.count(F.lit(1)).alias("n"), F.count_if(F.col(predicted).isNull()).alias("missing"),
+        F.sqrt(F.avg(off * off)).alias("rmse"), F.avg(off).alias("bias"), F.max(F.abs(off)).alias("worst"))
+
+
 def argmin_model(scores: DataFrame, by: str = "aircraft_type", model: str = "model_id") -> DataFrame:
     """The model with the lowest error per type; the lowest id wins a tie."""
     best = F.min(F.struct("rmse", model))

@@ -70,14 +70,31 @@ class _Files:
         names = [f.getPath().getName() for f in store.listStatus(path)] if store.exists(path) else []
         return max((int(n.removeprefix("current-")) for n in names if n.startswith("current-")), default=0)
 
+    def rename(self, name: str, to: str) -> None:
+        """Move a folder; a file system that reports failure by its result raises as well."""
+        store, path = self._at(name)
+        if not store.rename(path, self.path(to)):
+            raise OSError(f"could not rename {name} to {to}")
+
     def finish_switch(self, checkpoint: str, current: int, target: str, fresh: str) -> None:
-        """Put a finished new target in place of the old one; an unmarked one belongs to a run that failed."""
+        """Put a finished new target in place of the old one; an unmarked one belongs to a run that failed.
+
+        The old target keeps another name until the new one is in place, and comes back where that fails.
+        """
         if self.exists(f"{checkpoint}/current-{current}") and not self.exists(f"{checkpoint}/switched-{current}"):
+            old = f"{target.rstrip('/')}.old"
             if self.exists(fresh):
-                self.delete(target)
-                store, path = self._at(fresh)
-                store.rename(path, self.path(target))
+                if self.exists(target):
+                    self.delete(old)
+                    self.rename(target, old)
+                try:
+                    self.rename(fresh, target)
+                except Exception:
+                    if self.exists(old) and not self.exists(target):
+                        self.rename(old, target)
+                    raise
             self.create(f"{checkpoint}/switched-{current}")
+            self.delete(old)
 
 
 def _run(spark: SparkSession, source: str, target: str, checkpoint: str, schema: T.StructType, process: Callable[[DataFrame], DataFrame],
