@@ -8,7 +8,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler
+from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,17 +17,19 @@ from trackmill.operators.cleaning import numeric_columns
 from trackmill.operators.percentiles import exact_percentiles
 from trackmill.operators.sampling import split_train_test, undersample, weights_inverse_freq
 from trackmill.operators.stats import corr_matrix, rmse_expr, topk_per_group
+from trackmill.operators.target_means import CrossFittedMeans, fold_of
 from trackmill.session import materialise, shared_dir
 
 
-#: Codes of a wide category: what bounds its table of means, in the driver and in the model.
-WIDE_CODES = 1 << 16
+#: Column with the fold of a row that a model learns from.
+FOLD = "_fold"
+FOLDS = 5
 
 
 @dataclass(frozen=True)
 class Features:
-    """What a model reads.  ``wide`` categories have too many values for tree splits: values are hashed to
-    ``WIDE_CODES`` codes and encoded by the mean label of their code, fitted on the training rows only."""
+    """What a model reads.  ``wide`` categories have too many values for tree splits: each value is encoded by its mean
+    label, learnt from the training rows only, and for these from the other folds' rows."""
 
     numeric: Sequence[str]
     categorical: Sequence[str] = ()
@@ -78,15 +80,9 @@ def build_pipeline(features: Features, params: Boosting) -> Pipeline:
         ))
         inputs += [f"{c}_index" for c in features.categorical]
     if features.wide:
-        codes = ", ".join(f"CAST(pmod(xxhash64(CAST(`{c}` AS STRING)), {WIDE_CODES}) AS DOUBLE) AS `{c}_index`" for c in features.wide)
-        stages.append(SQLTransformer(statement=f"SELECT *, {codes} FROM __THIS__"))
-        stages.append(TargetEncoder(
-            inputCols=[f"{c}_index" for c in features.wide], outputCols=[f"{c}_mean" for c in features.wide],
-            labelCol=features.label, targetType="continuous", handleInvalid="keep", smoothing=10.0,
+        stages.append(CrossFittedMeans(
+            inputCols=list(features.wide), outputCols=[f"{c}_level" for c in features.wide], labelCol=features.label, foldCol=FOLD, folds=FOLDS,
         ))
-        # The encoder's output still carries its categories as metadata; trees must see a number.
-        numbers = ", ".join(f"`{c}_mean` + 0D AS `{c}_level`" for c in features.wide)
-        stages.append(SQLTransformer(statement=f"SELECT *, {numbers} FROM __THIS__"))
         inputs += [f"{c}_level" for c in features.wide]
     if features.numeric:
         marks = ", ".join(
@@ -123,7 +119,8 @@ def fitting(df: DataFrame, features: Features, params: Boosting) -> tuple[Featur
 
 def fit(df: DataFrame, features: Features, params: Boosting = Boosting()) -> PipelineModel:
     shared_dir(df.sparkSession)  # boosting checkpoints its residuals there
-    return build_pipeline(*fitting(df, features, params)).fit(df)
+    taught = df.withColumn(FOLD, fold_of(F.col(features.key), FOLDS, params.seed)) if features.wide else df
+    return build_pipeline(*fitting(df, features, params)).fit(taught)
 
 
 def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
