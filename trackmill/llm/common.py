@@ -46,3 +46,24 @@ def written(df: DataFrame, label: str, rows: int = 1000) -> DataFrame:
         return materialise(df, label)
     finally:
         spark.conf.set(name, before)
+
+
+#: A key with more than one in so many rows is dealt to several tasks; there are no more such keys than this.
+HOT_SHARE = 1000
+
+
+def spread_join(rows: DataFrame, table: DataFrame, key: str, by: str, counted: DataFrame | None = None) -> DataFrame:
+    """Inner join on ``key``, where a few keys may hold a large part of ``rows``.
+
+    The rows of a hot key are dealt to as many parts as it holds thousandths of all rows, by a hash of ``by``, and its rows of
+    ``table`` are copied to each.  Hot keys are counted (added up before the shuffle) and broadcast, ``HOT_SHARE`` rows at most.  They are
+    counted in ``counted``, a written table with the same keys, or else in ``rows``.
+    """
+    counted = rows if counted is None else counted
+    total = counted.count()
+    hot = counted.groupBy(key).agg(F.count(F.lit(1)).alias("_llm_rows")).where(F.col("_llm_rows") * HOT_SHARE > total).select(key, F.ceil(F.col("_llm_rows") * HOT_SHARE / max(total, 1)).cast("int").alias("_llm_parts"))
+    dealt = rows.join(F.broadcast(hot), key, "left")
+    dealt = dealt.withColumn("_llm_part", F.coalesce(F.pmod(F.xxhash64(by), F.col("_llm_parts")).cast("int"), F.lit(0))).drop("_llm_parts")
+    copied = table.join(F.broadcast(hot), key, "left")
+    copied = copied.withColumn("_llm_part", F.explode(F.sequence(F.lit(0), F.coalesce("_llm_parts", F.lit(1)) - 1))).drop("_llm_parts")
+    return dealt.join(copied, [key, "_llm_part"]).drop("_llm_part")

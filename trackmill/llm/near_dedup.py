@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackmill.llm.common import written
+from trackmill.llm.common import spread_join, written
 from trackmill.session import materialise
 
 BUCKETS = 256
@@ -304,28 +304,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lead = (band.groupBy("_llm_band").agg(F.min(F.col("_llm_node").bitwiseXOR(mask)).alias("_llm_m"), F.count("*").alias("_llm_c"))
             .where("_llm_c > 1").select("_llm_band", F.col("_llm_m").bitwiseXOR(mask).alias("_llm_leader")))
     shared = materialise(band.join(lead, "_llm_band"), "bands")
-    pairs = (shared.where("_llm_node <> _llm_leader")
-             .select(F.least("_llm_node", "_llm_leader").alias("_llm_a"), F.greatest("_llm_node", "_llm_leader").alias("_llm_b")).distinct())
+    pairs = materialise(
+        shared.where("_llm_node <> _llm_leader")
+        .select(F.least("_llm_node", "_llm_leader").alias("_llm_a"), F.greatest("_llm_node", "_llm_leader").alias("_llm_b")).distinct(), "pairs")
     # Only texts in a shared bucket are ever compared; they are written once.
     wanted = shared.select(F.col("_llm_node").alias("_llm_id")).distinct()
     texts = materialise(picked.where("_llm_text IS NOT NULL").join(wanted, "_llm_id", "left_semi"), "texts")
 
     def side(x: str, name: str) -> DataFrame:
         return nodes.select(F.col("_llm_node").alias(f"_llm_{x}"), F.col("n_shingles").alias(f"_llm_n{x}"),
-                            F.substring("_llm_regs", 1, BUCKETS).alias(name))
+                            F.col("_llm_regs").alias(name))
 
     def probable(candidates: DataFrame) -> DataFrame:
-        both = candidates.join(side("a", "_llm_ra"), "_llm_a").join(side("b", "_llm_rb"), "_llm_b")
+        # The leader of a large bucket is in very many pairs.
+        both = spread_join(candidates, side("a", "_llm_ra"), "_llm_a", "_llm_b")
+        both = spread_join(both, side("b", "_llm_rb"), "_llm_b", "_llm_a", candidates)
         return both.mapInPandas(_probable(percent / 100, slack), "_llm_a bigint, _llm_b bigint").distinct()
 
     def confirmed(candidates: DataFrame) -> DataFrame:
         ta = texts.select(F.col("_llm_id").alias("_llm_a"), F.col("_llm_text").alias("_llm_ta"))
         tb = texts.select(F.col("_llm_id").alias("_llm_b"), F.col("_llm_text").alias("_llm_tb"))
-        both = candidates.join(tb, "_llm_b").join(ta, "_llm_a").select("_llm_a", "_llm_b", "_llm_ta", "_llm_tb")
+        both = spread_join(spread_join(candidates, tb, "_llm_b", "_llm_a"), ta, "_llm_a", "_llm_b", candidates).select("_llm_a", "_llm_b", "_llm_ta", "_llm_tb")
         return both.mapInPandas(_confirmed(percent), "_llm_a bigint, _llm_b bigint")
 
     # Rows that share an id are linked through it, whatever their sets.
-    sets_of = known.join(node_of, "_llm_set").select("_llm_id", "_llm_node")
+    sets_of = spread_join(known.select("_llm_id", "_llm_set"), node_of, "_llm_set", "_llm_id").select("_llm_id", "_llm_node")
     by_id = sets_of.where("_llm_id <> _llm_node").select(F.col("_llm_id").alias("_llm_a"), F.col("_llm_node").alias("_llm_b"))
     tried = materialise(probable(pairs), "tried")
     links = written(confirmed(tried).union(by_id), "confirmed")
