@@ -273,7 +273,8 @@ def components(links: DataFrame, a: str, b: str, rounds: int = 50) -> DataFrame:
     for _ in range(rounds):
         both = link.select("u", "v").union(link.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        # The centre of a star is the smaller end of very many links.
+        large = spread_join(both.where("v > u"), least, "u", "v", link.select(F.col("v").alias("u"))).select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = large.where("u <> v").groupBy("u").agg(F.min("v").alias("m"))
         step = large.join(small, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v")))
         link = materialise(step.where("u <> v").distinct(), "links")
