@@ -706,9 +706,30 @@ _MODEL_KEEP = """x.flight_id, x.flown_distance, x.tow, CASE WHEN x.dataset = 'ch
        " round(CAST(CAST(tow AS FLOAT) AS DOUBLE), 1) AS tow) FROM (" + factorize_sql("model_input", CODED, _MODEL_KEEP) + ")")
 def pipe_model_features(spark, sf):
     out = flows.model_features(views.flights(spark, sf), features=["flown_distance", "time_of_day_offblock",
-                               "time_of_day_arrival", "day_of_year", *CODED, "tow", "submission", "flight_id"], n=64)
+                               "time_of_day_arrival", "day_of_year", *CODED, "tow", "submission", "flight_id"], n=64, spec_thrust=False)
     return out.withColumns({
         "flown_distance": F.round(F.col("flown_distance").cast("double"), 2), "tow": F.round(F.col("tow").cast("double"), 1),
         "time_of_day_offblock": F.col("time_of_day_offblock").cast("double"),
         "time_of_day_arrival": F.col("time_of_day_arrival").cast("double"),
     })
+
+
+RANKED_FEATURES = ("spec_thrust1", "drag_term1", "climb_range", "m_tow", "great_circle_distance_km", "no_such_value")
+_MODEL_SIZES = {"tow": 1, "spec_thrust1": 2, "drag_term1": 2, "climb_range": 2, "m_tow": 1, "great_circle_distance_km": 2}
+
+
+@query("pipe_model_features_assembled", "SELECT flight_id, submission, " + ", ".join(
+    f"round(CAST(CAST({c} AS FLOAT) AS DOUBLE), {d}) + 0e0 AS {c}" for c, d in _MODEL_SIZES.items()) + """
+FROM (SELECT a.*, a.drag_term1 + b.avg_path_angle_0_5000 AS spec_thrust1, f.tow, CASE WHEN f.dataset = 'challenge' THEN 0 ELSE 1 END AS submission
+      FROM assembled a JOIN flights f ON f.flight_id = a.flight_id LEFT JOIN climb_banded b ON b.flight_id = a.flight_id)""")
+def pipe_model_features_assembled(spark, sf):
+    """The assembled table, sparse columns dropped, with specific thrust; columns chosen by an importance table: shares of known values."""
+    table = materialise(flows.assemble(
+        views.flights(spark, sf), flows.flight_feature_flow(blocks.enriched(spark, sf), FX),
+        flows.climb_feature_flow(blocks.stored_tracks(spark, sf), views.flights(spark, sf).select("flight_id"), FX),
+        views.types(spark), views.airports(spark, sf), impute=None), "assembled")
+    known = {c: F.count(F.col("drag_term1" if c == "spec_thrust1" else c) if c != "no_such_value" else F.lit(None)) for c in RANKED_FEATURES}
+    counted = table.agg(*[n.alias(c) for c, n in known.items()])
+    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("importance")) for c in RANKED_FEATURES]))
+    chosen = flows.model_features(table, counted.select(pairs), n=5, protect=("tow", "flight_id", "submission"))
+    return chosen.withColumns({c: F.round(F.col(c).cast("double"), d) + F.lit(0.0) for c, d in _MODEL_SIZES.items()})

@@ -147,21 +147,27 @@ def assemble(flights: DataFrame, features: DataFrame, climb: DataFrame, types: D
     return df
 
 
+#: Columns that are coded by numbers.  Fixed values.
 CODED = ("adepdespair", "airline", "aircraft_type", "countrypair", "adep", "ades", "country_code_adep", "country_code_ades")
 
-#: Columns no model reads.
+#: Columns no model reads.  Fixed values.
 UNUSED = ("wtc", "ac", "callsign", "name_adep", "name_ades", "actual_offblock_time", "arrival_time", "dataset")
 
 
 def model_features(df: DataFrame, features: Sequence[str] | DataFrame, n: int = 80,
                    protect: Sequence[str] = ("tow", "flight_id", "submission", "adep", "ades", "aircraft_type",
                                              "airline", "adepdespair", "countrypair"),
-                   threshold: float = 0.01, key: str = "flight_id", date: str = "flight_date") -> DataFrame:
-    """The assembled table as models read it: keys, families, time of day, float32, codes, chosen columns.
+                   threshold: float = 0.01, key: str = "flight_id", date: str = "flight_date", spec_thrust: bool = True) -> DataFrame:
+    """The assembled table as models read it: keys, families, time of day, float32, codes, specific thrust, chosen columns.
 
-    ``features`` is an importance table or an ordered list of names, of which the first ``n`` count.
+    ``features`` is an importance table or an ordered list of names, of which the first ``n`` count.  Specific thrust needs the drag and path
+    angle of every band, and a table without them raises; ``spec_thrust=False`` leaves the step out.
     """
     out = cleaning.clean_names(df)
+    needed = [*(f"drag_term{i}" for i in range(1, 1 + len(enrich.BANDS))), *(f"avg_path_angle_{b}" for b in enrich.BANDS)]
+    missing = [c for c in needed if c not in out.columns] if spec_thrust else []
+    if missing:
+        raise ValueError(f"specific thrust needs the columns {missing}")
     if "submission" not in out.columns:
         out = out.withColumn("submission", F.when(F.col("dataset") == "challenge", 0).otherwise(1))
     out = out.withColumns({
@@ -173,14 +179,14 @@ def model_features(df: DataFrame, features: Sequence[str] | DataFrame, n: int =
     })
     out = encoding.combine_types(out, threshold=threshold).drop(*UNUSED)
     out = cleaning.cast_float32(out, keep=[key])
-    if all(f"drag_term{i}" in out.columns for i in range(1, 5)):
+    if spec_thrust:
         out = enrich.with_spec_thrust(out)
     if isinstance(features, DataFrame):
         chosen = cleaning.top_features(features, n, protect)
     else:
         chosen = list(dict.fromkeys([*features[:n], *protect]))
     coded = [c for c in CODED if c in chosen]
-    return encoding.factorize(out.select(*chosen), coded, key)
+    return encoding.factorize(out.select(*chosen), coded, key) if coded else out.select(*chosen)
 
 
 def rmse_flow(preds: DataFrame, scored: DataFrame, key: str = "flight_id") -> DataFrame:
