@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from trackmill.functions import encodings
-from trackmill.functions.timing import hour_partition
+from trackmill.functions.timing import hour_partition, micros
 from trackmill.operators import cleaning, encoding, enrich, features, sampling, stats
 from trackmill.plans import blocks
 from trackmill.plans.blocks import FX
@@ -127,12 +127,13 @@ def profiled(spark, sf):
 # Which columns are too sparse depends on the data; the oracle lists those with at most 2 % NULLs, without
 # the ones dropped by name, and tow, which is protected.
 @query("drop_sparse_columns", """
-SELECT flight_id, dataset, adep, ades, country_code_ades, aircraft_type, airline, flight_duration, flown_distance,
+SELECT flight_id, epoch_us(CAST(flight_date AS TIMESTAMP)) AS flight_date, dataset, adep, ades, country_code_ades, aircraft_type, airline,
+       epoch_us(actual_offblock_time) AS actual_offblock_time, epoch_us(arrival_time) AS arrival_time, flight_duration, flown_distance,
        tow, mean_cruise_fuelflow FROM profiled""")
 def drop_sparse_columns(spark, sf):
-    df = profiled(spark, sf).drop("flight_date", "actual_offblock_time", "arrival_time")
-    rows = df.count()
-    return cleaning.select_columns_by_profile(df, max_nulls=rows // 50, protect=("tow",))
+    df = profiled(spark, sf)
+    kept = cleaning.select_columns_by_profile(df, max_nulls=df.count() // 50, protect=("tow",))
+    return kept.withColumns({c: micros(c) for c in ("flight_date", "actual_offblock_time", "arrival_time") if c in kept.columns})
 
 
 @query("select_top_features", "SELECT flight_id, flown_distance, flight_duration, tow FROM flights")
