@@ -101,11 +101,14 @@ def seen_terms(docs: DataFrame, lang_col: str = "lang", text_col: str = "text")
                 prefixes: set[bytes] = set()
                 for term in set(terms_of(text.as_py())):
                     start = term[:FIRST_LEVEL]
-                    if start not in prefixes and len(term) < 2 * FIRST_LEVEL:
-                        prefixes.add(start)
-                        first[term] += 1
-                    else:
+                    # Most terms are the first of their prefix and shorter than the third level.
+                    if start in prefixes or len(term) >= 4 * FIRST_LEVEL:
                         deeper(term, prefixes, levels)[term] += 1
+                        continue
+                    prefixes.add(start)
+                    if len(term) >= 2 * FIRST_LEVEL:
+                        prefixes.add(term[:2 * FIRST_LEVEL])
+                    first[term] += 1
                 if sum(sum(map(len, x)) for x in held.values()) > HELD:
                     yield from flush()
         yield from flush()
