@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trackmill.functions.timing import micros
-from trackmill.operators import enrich, ml, sampling, selection, stats
+from trackmill.operators import enrich, leafwise, ml, sampling, selection, stats
 from trackmill.plans import blocks, catalog_flights, flows
 from trackmill.plans.blocks import FX
 from trackmill.plans.catalog_flights import CODED, SPLIT_SQL, factorize_sql
@@ -316,6 +316,26 @@ def per_entity_apply(spark, sf):
                                     {"known": F.count("altitude"), "top": F.max("altitude")}), 8)
 
 
+@query("table_function", rounded_sql(f"""
+SELECT flight_id, seq, altitude - max(altitude) OVER (PARTITION BY flight_id, epoch_us(event_time) // {FX.slice_s * 1_000_000}) AS below_top FROM tracks
+WHERE flight_id IN (SELECT flight_id FROM tracks GROUP BY flight_id HAVING count(altitude) >= 60)""", "below_top", 8))
+def table_function(spark, sf):
+    """A function of the rows of a slice, called by SQL; flights with fewer than 60 known altitudes in all their slices are dropped."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from trackmill.operators import table_functions
+
+    def below_top(rows: pa.Table) -> tuple[pa.Table, float]:
+        altitude = rows.column("altitude")
+        below = pc.subtract(altitude, pc.max(altitude))
+        return pa.table({"flight_id": rows.column("flight_id"), "seq": rows.column("seq"), "below_top": below}), float(len(altitude) - altitude.null_count)
+
+    tracks = blocks.tracks(spark, sf).select("flight_id", "event_time", "seq", "altitude")
+    table_functions.register(spark, "below_top", below_top, "flight_id bigint, seq bigint, below_top double", FX)
+    return rounded(table_functions.decided(table_functions.call(tracks, FX, "below_top"), F.col("votes") >= 60), 8)
+
+
 # --- models -------------------------------------------------------------------------------------
 
 # Small models: what SQL can check of a model does not depend on its size.
@@ -351,6 +371,43 @@ def gbt_fit_predict(spark, sf):
     return tested.unionByName(rest).withColumn("better_than_mean", F.lit(trained.scores["test"]) < spread)
 
 
+@query("leafwise_fit_predict", f"""
+SELECT flight_id, {SPLIT_SQL} AS test, tow, true AS predicted, true AS better_than_mean FROM flights WHERE tow IS NOT NULL""")
+def leafwise_fit_predict(spark, sf):
+    """Trees of up to 31 leaves, grown best leaf first on rows with missing values."""
+    df = sampling.split_train_test(model_table(spark, sf).filter(F.col("tow").isNotNull()), "flight_id", 20)
+    model = leafwise.fit(df.filter("test = 0"), MODEL_FEATURES, leafwise.LeafBoosting(iterations=10, step=0.2, leaves=31, bins=64))
+    done = materialise(model.transform(df), "predictions")
+    better = done.filter("test = 1").agg((F.sqrt(F.avg((F.col("tow") - F.col("tow_pred")) ** 2)) < F.stddev_pop("tow")).alias("better")).scalar()
+    return done.select("flight_id", "test", "tow", F.col("tow_pred").isNotNull().alias("predicted"), better.alias("better_than_mean"))
+
+
+# One split is for SQL: every cut of both features, with missing values on either side, is tried.
+block("split_rows", """
+  SELECT flight_id, tow, m_tow, CAST(hour(actual_offblock_time) AS DOUBLE) AS hour FROM keyed k LEFT JOIN types t ON upper(trim(k.aircraft_type)) = t.ac""")
+block("split_cuts", """
+  SELECT 0 AS f, m_tow AS cut FROM (SELECT DISTINCT m_tow FROM types WHERE m_tow IS NOT NULL) AS x UNION ALL SELECT 1, CAST(range AS DOUBLE) FROM range(24) AS y""")
+block("split_values", """
+  SELECT flight_id, tow, 0 AS f, m_tow AS x FROM split_rows UNION ALL SELECT flight_id, tow, 1, hour FROM split_rows""")
+block("split_sides", """
+  SELECT f, cut, missing_left, coalesce(x <= cut, missing_left) AS goes_left, count(*) AS n, sum(tow - (SELECT avg(tow) FROM split_rows)) AS g, avg(tow) AS mean
+  FROM split_values JOIN split_cuts USING (f) CROSS JOIN (VALUES (false), (true)) AS d(missing_left) WHERE tow IS NOT NULL GROUP BY f, cut, missing_left, goes_left""")
+block("split_best", """
+  SELECT f, cut, missing_left, max(CASE WHEN goes_left THEN mean END) AS mean_left, max(CASE WHEN NOT goes_left THEN mean END) AS mean_right
+  FROM split_sides GROUP BY f, cut, missing_left HAVING count(*) = 2 AND min(n) >= 36 ORDER BY round(sum(g * g / n), 3) DESC, f, missing_left, cut LIMIT 1""")
+
+
+@query("leafwise_split", """
+SELECT flight_id, round(CASE WHEN coalesce(x <= cut, missing_left) THEN mean_left ELSE mean_right END, 2) AS tow_pred FROM split_values JOIN split_best USING (f)""")
+def leafwise_split(spark, sf):
+    """One tree of two leaves without penalties: the best of all splits by type mass, which some flights lack, and by hour."""
+    df = model_table(spark, sf)
+    masses = sorted(r.m_tow for r in views.types(spark).select("m_tow").distinct().filter("m_tow IS NOT NULL").collect())  # a row per aircraft type
+    one = leafwise.LeafBoosting(iterations=1, step=1.0, leaves=2, min_gain=0.0, l1=0.0, l2=0.0, feature_fraction=1.0, bins=255)
+    model = leafwise.fit(df, ml.Features(["m_tow", "hour"]), one, {"m_tow": masses, "hour": [float(h) for h in range(24)]})
+    return model.transform(df).select("flight_id", F.round("tow_pred", 2).alias("tow_pred"))
+
+
 MODEL_INPUTS = ("airline_index", "adep_index", "adepdespair_level", *[
     f"{c}_{part}" for part in ("filled", "missing") for c in ("flown_distance", "flight_duration", "hour", "m_tow")])
 

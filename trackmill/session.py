@@ -58,6 +58,14 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_stage(spark: SparkSession, path: str) -> bool:
+    """Delete one path of ``fresh_path`` that nothing reads any more."""
+    if not path.startswith(f"{stage_root(spark)}/"):
+        raise ValueError(f"not a stage of this application: {path}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def clear_stages(spark: SparkSession) -> bool:
     """Delete the stages this application has written.  Frames read from them become unusable."""
     path = spark._jvm.org.apache.hadoop.fs.Path(stage_root(spark))
