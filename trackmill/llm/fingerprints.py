@@ -111,9 +111,12 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
         return without
     known = docs.where("_llm_id IS NOT NULL").withColumn("_llm_range", at.cast("int"))
     # The first row of a range is also the last of the range before it; that of the first range, of the last one.
-    before = {heads[r]: order[i - 1] for i, r in enumerate(order)}
-    lookup = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
-    placed = known.withColumn("_llm_before", F.element_at(lookup, F.col("_llm_id")))
+    before = {r: order[i - 1] for i, r in enumerate(order)}
+    ranges = range(order[-1] + 1)
+    # A row looks at its own range's place in two arrays only, however many ranges there are.
+    head = F.get(F.array(*[F.lit(heads.get(r)) for r in ranges]), F.col("_llm_range"))
+    ahead = F.get(F.array(*[F.lit(before.get(r)) for r in ranges]), F.col("_llm_range"))
+    placed = known.withColumn("_llm_before", F.when(F.col("_llm_id") == head, ahead))
     twice = F.when(F.col("_llm_before").isNotNull(), F.array(F.struct(F.col("_llm_range").alias("r"), F.lit(False).alias("g")),
                                                           F.struct(F.col("_llm_before").cast("int").alias("r"), F.lit(True).alias("g")))
                    ).otherwise(F.array(F.struct(F.col("_llm_range").alias("r"), F.lit(False).alias("g"))))

@@ -30,6 +30,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trackmill.llm.common import spread_join, written
 from trackmill.session import materialise
@@ -366,8 +367,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       F.coalesce(F.col("_llm_id") == component, F.lit(True)).alias("kept"))
 
 
+def _unordered(kind: T.DataType) -> bool:
+    """Whether values of a type cannot be compared."""
+    if isinstance(kind, T.ArrayType):
+        return _unordered(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_unordered(f.dataType) for f in kind)
+    return isinstance(kind, (T.MapType, T.VariantType))
+
+
 def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group, with the columns of ``docs``; of repeated rows of the kept id one stays, rows without an id all stay."""
+    """One document of each group, with the columns of ``docs``; of rows of the kept id the one with the smallest text stays, rows without an id all stay.
+
+    Rows of one id and text that differ elsewhere are told apart by their other columns, as far as these can be ordered.
+    """
     kept = near_duplicates(docs, id_col, text_col).where("kept").select(F.col(f"`{id_col}`").alias("_llm_kept_id")).where("_llm_kept_id IS NOT NULL")
     known = docs.where(F.col(f"`{id_col}`").isNotNull()).join(kept, F.col(f"`{id_col}`") == F.col("_llm_kept_id"), "left_semi")
-    return known.dropDuplicates([id_col]).unionByName(docs.where(F.col(f"`{id_col}`").isNull()))
+    ordered = [f.name for f in docs.schema if f.name not in (id_col, text_col) and not _unordered(f.dataType)]
+    rank = F.struct(*[F.col(f"`{c}`") for c in (text_col, *ordered)])
+    first = known.groupBy(F.col(f"`{id_col}`").alias("_llm_id")).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), rank).alias("_llm_first"))
+    return first.select("_llm_first.*").unionByName(docs.where(F.col(f"`{id_col}`").isNull()))

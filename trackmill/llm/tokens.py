@@ -69,11 +69,11 @@ class Encoder:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        # Strings that look like special tokens are ordinary text.
-        self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65_536 else "<u4")
         kind = json.loads(self.tokenizer.to_str())
         pre = kind["pre_tokenizer"] or {}
+        #: Strings that the library takes out of a text as one id, before it cuts words: texts with one are encoded whole.
+        self.added = tuple(t["content"] for t in kind["added_tokens"])
         self.cuts = (kind["normalizer"] is None and kind["model"]["type"] == "BPE" and pre.get("type") == "ByteLevel"
                      and not pre.get("add_prefix_space") and pre.get("use_regex", True))
         self.model = self.tokenizer.model
@@ -122,7 +122,7 @@ class Encoder:
         return self._whole(text)
 
     def encode(self, text: str) -> bytes:
-        if not self.cuts or not text:
+        if not self.cuts or not text or any(a in text for a in self.added):
             return self._whole(text)
         first, *rest = text.split(" ")
         if not first or first[-1].isspace():

@@ -1,10 +1,11 @@
 """URL filter: host rules, and a weighted vocabulary found by an Aho-Corasick automaton.
 
 Host rules come first: a rule names a host (and all its subdomains) and the path it starts with, and the longest that fits decides.  Where
-none fits, the vocabulary does: one automaton over all terms runs through the lower-cased url once, a term counts where neither
-neighbour is a letter or digit, and a url is blocked for one strict term or for ``soft_limit`` distinct soft terms.
+none fits, the vocabulary does: one automaton over all terms runs through the lower-cased host and path once (a query string such as ``ref=x`` says
+nothing of the page), a term counts where neither neighbour is a letter or digit, and a url is blocked for one strict term or for ``soft_limit``
+distinct soft terms.  The terms are a parameter; ``vocabulary`` reads them from a table with a weight for each.
 
-Scale: a map over rows; the automaton is built once per task from its parameter.  No shuffle.
+Scale: a map over rows; the automaton is built once per task from its parameter, of ``MOST_TERMS`` terms at most.  No shuffle.
 
 Defined cases: a null url, or one without ``://``, has empty host and path, fits no rule and has no terms, so it is allowed; repeated
 rows are judged one by one; an empty table gives an empty result; other columns are ignored.
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 #: Verdict and rule (host/path prefix).
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+MOST_TERMS = 1_000_000
 STRICT = ("porn", "xxx", "casino", "viagra", "escort", "hentai", "warez", "torrent", "pills", "spam", "malware", "phishing")
 SOFT = ("adult", "bet", "bets", "win", "free", "cheap", "ads", "track", "sex", "poker", "lottery", "loan", "crack", "hack", "nude", "dating", "x")
 
@@ -55,9 +57,25 @@ def automaton(strict=STRICT, soft=SOFT):
     return a
 
 
+def vocabulary(terms: DataFrame, strict_from: float = 1.0, term_col: str = "term", weight_col: str = "weight") -> dict[str, tuple[str, ...]]:
+    """``strict`` and ``soft`` terms, for ``judge(..., **vocabulary(table))``: those with a weight of ``strict_from`` or more are strict, other positive ones soft.
+
+    Terms are lower-cased; of one that is given twice the larger weight counts; null and empty ones, and such without a positive weight, are left
+    out.  A table of more than ``MOST_TERMS`` terms is refused, as tasks hold the automaton in memory.
+    """
+    term = F.lower(F.col(f"`{term_col}`"))
+    kept = terms.where((F.length(term) > 0) & (F.col(f"`{weight_col}`") > 0)).groupBy(term.alias("term")).agg(F.max(F.col(f"`{weight_col}`")).alias("weight"))
+    rows = kept.limit(MOST_TERMS + 1).collect()
+    if len(rows) > MOST_TERMS:
+        raise ValueError(f"more than {MOST_TERMS} terms")
+    return {"strict": tuple(sorted(r.term for r in rows if r.weight >= strict_from)), "soft": tuple(sorted(r.term for r in rows if r.weight < strict_from))}
+
+
 def terms_in(url: str, a) -> tuple[list[str], list[str]]:
-    """Strict and soft terms in a url, each distinct one once, sorted."""
+    """Strict and soft terms in a host and path, each distinct one once, sorted."""
     text = url.lower()
+    if not len(a):
+        return [], []
     found = {"strict": set(), "soft": set()}
     for end, (kind, term) in a.iter(text):
         start = end - len(term) + 1
@@ -69,22 +87,22 @@ def terms_in(url: str, a) -> tuple[list[str], list[str]]:
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, strict=STRICT, soft=SOFT, soft_limit: int = 2) -> DataFrame:
     """One row per page: id, ``host``, ``path``, ``rule``, ``strict_terms``, ``soft_terms`` and ``verdict``.
 
-    Terms are looked for in the whole url; without ``://`` there is no url to judge.
+    Terms are looked for in host and path; without ``://`` both are empty.
     """
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a = automaton(strict, soft)
         for batch in batches:
-            got = [terms_in(u, a) if u is not None and "://" in u else ([], []) for u in batch.pop("_llm_url")]
+            got = [terms_in(h + p, a) for h, p in zip(batch["host"], batch["path"])]
             batch["strict_terms"] = [g[0] for g in got]
             batch["soft_terms"] = [g[1] for g in got]
             yield batch
 
     url = F.col(f"`{url_col}`")
     host, path = host_of(url), path_of(url)
-    picked = pages.select(F.col(f"`{id_col}`").alias("_llm_id"), url.alias("_llm_url"), host.alias("host"), path.alias("path"))
+    picked = pages.select(F.col(f"`{id_col}`").alias("_llm_id"), host.alias("host"), path.alias("path"))
     picked = picked.withColumn("_llm_rule", rule_for(F.col("host"), F.col("path"), rules))
-    picked = picked.select("_llm_id", "_llm_url", "host", "path", F.col("_llm_rule.rule").alias("rule"), F.col("_llm_rule.verdict").alias("_llm_verdict"))
+    picked = picked.select("_llm_id", "host", "path", F.col("_llm_rule.rule").alias("rule"), F.col("_llm_rule.verdict").alias("_llm_verdict"))
     kind = pages.schema[id_col].dataType.simpleString()
     found = picked.mapInPandas(find, f"_llm_id {kind}, host string, path string, rule string, _llm_verdict string, "
                                      "strict_terms array<string>, soft_terms array<string>")
@@ -96,7 +114,7 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
 def oracle(rules=RULES, strict=STRICT, soft=SOFT, soft_limit: int = 2) -> str:
     """SQL for ``judge`` over ``pages`` without the term lists; boundaries as in ASCII urls."""
     def hit(term: str) -> str:
-        return f"regexp_matches(lower(u), '(^|[^a-z0-9\\x{{80}}-\\x{{10ffff}}]){term}($|[^a-z0-9\\x{{80}}-\\x{{10ffff}}])')"
+        return f"regexp_matches(lower(host || path), '(^|[^a-z0-9\\x{{80}}-\\x{{10ffff}}]){term}($|[^a-z0-9\\x{{80}}-\\x{{10ffff}}])')"
 
     cases = []
     for verdict, rule in sorted(rules, key=lambda r: -len(r[1])):
@@ -106,7 +124,7 @@ def oracle(rules=RULES, strict=STRICT, soft=SOFT, soft_limit: int = 2) -> str:
     soft_sql = " + ".join(f"CAST({hit(t)} AS INTEGER)" for t in soft)
     return f"""
     WITH a AS (SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN url ELSE '' END AS u FROM pages),
-    b AS (SELECT page_id, coalesce(u, '') AS u, translate(regexp_extract(coalesce(u, ''), '^.*?://([^/?#]*)', 1, 's'),
+    b AS (SELECT page_id, translate(regexp_extract(coalesce(u, ''), '^.*?://([^/?#]*)', 1, 's'),
             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
             regexp_extract(coalesce(u, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path FROM a),
     c AS (SELECT *, CASE {' '.join(cases)} END AS r, ({strict_sql}) AS strict_hit, {soft_sql} AS soft_hits FROM b)
