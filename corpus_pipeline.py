@@ -1,4 +1,10 @@
-"""From raw documents to packed sequences: five stages, each over all that its predecessor kept."""
+"""From raw documents to packed sequences: five stages, each over all that its predecessor kept.
+
+Defined cases, stage by stage: documents without text, or with a blank or very short one, fall to the rules' base check; very long texts are
+judged, compared and packed whole; of rows that share an id the near-duplicate stage keeps the one with the smallest text, and rows without an id all
+stay in it; sources that are null or not named share the rest of the mixture; an empty table gives empty tables.  Columns beside the known ones,
+whatever their names, are carried along up to the packing stage.
+"""
 
 from __future__ import annotations
 
@@ -27,7 +33,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated so that sources make up their target shares, in shuffled order."""
-    return mixing.mix(docs, WEIGHTS, REST_WEIGHT).drop("copy", "shuffle_key")
+    return mixing.mix(docs, WEIGHTS, REST_WEIGHT, copy_col="_llm_copy", key_col="_llm_key").drop("_llm_copy", "_llm_key")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
