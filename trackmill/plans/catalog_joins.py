@@ -60,7 +60,7 @@ def asof_join(spark, sf):
 SELECT s.flight_id, s.seq, z.zone_id FROM (SELECT *, flight_id % 8 AS region, epoch_us(event_time) AS us FROM tracks) s
 JOIN zones z ON s.region = z.region AND s.us >= z.opens_us AND s.us < z.closes_us""")
 def interval_join(spark, sf):
-    held = in_regions(spark, sf).select("flight_id", "seq", "region", "event_time")
+    held = materialise(in_regions(spark, sf).select("flight_id", "seq", "region", "event_time"), "held")
     return intervals.interval_join(held, zones(spark, sf), ["region"], "event_time", "opens", "closes").select("flight_id", "seq", "zone_id")
 
 
